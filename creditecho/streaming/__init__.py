@@ -1,0 +1,6 @@
+"""Streaming use.
+
+No operator here needs state of its own. Row-level work (text cleaning, tokens, clamps, feature ratios
+against stored statistics) is plain Column code and runs unchanged on ``spark.readStream`` frames; see
+``tests/test_streaming.py``.
+"""
