@@ -1,9 +1,9 @@
 """Registered queries with their DuckDB statements."""
 from __future__ import annotations
 
-from creditecho.catalog import features, loans
+from creditecho.catalog import features, loans, scoring
 
-PARTS = (loans.R, features.R)
+PARTS = (loans.R, features.R, scoring.R)
 
 
 def all_runs() -> dict:

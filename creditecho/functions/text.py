@@ -84,11 +84,27 @@ def with_prefix(t: Column, kind: str) -> Column:
     return F.concat(F.lit(f"{kind}: "), t)
 
 
+def fixed_text(x: Column, digits: int) -> Column:
+    """Non-negative number with fixed decimals, rounded on its exact binary value (ties to even)."""
+    scale, one = 10**digits, 2**52
+    whole = F.floor(x).cast("long")
+    exact = ((x - whole) * F.lit(float(one))).cast("long") * F.lit(scale)
+    part = F.shiftright(exact, 52)
+    rest = exact - part * F.lit(one)
+    up = (rest > one // 2) | ((rest == one // 2) & (part % 2 == 1))
+    total = whole * F.lit(scale) + part + up.cast("long")
+    return F.concat(
+        F.floor(total / scale).cast("long").cast("string"), F.lit("."),
+        F.lpad((total % scale).cast("string"), digits, "0"),
+    )
+
+
 def format_seconds(s: Column) -> Column:
     """Seconds as text in seconds, minutes or hours."""
-    raw = F.format_string("%.2f seconds", s)
-    minutes = F.format_string("%.2f minutes (%.2f seconds)", s / 60, s)
-    hours = F.format_string(
-        "%.1f hours %.1f minutes (%.2f seconds)", s / 3600, F.pmod(s, F.lit(3600.0)) / 60, s
+    raw = fixed_text(s, 2)
+    minutes = F.concat(fixed_text(s / 60, 2), F.lit(" minutes ("), raw, F.lit(" seconds)"))
+    hours = F.concat(
+        fixed_text(s / 3600, 1), F.lit(" hours "), fixed_text(F.pmod(s, F.lit(3600.0)) / 60, 1),
+        F.lit(" minutes ("), raw, F.lit(" seconds)"),
     )
-    return F.when(s < 60, raw).when(s < 3600, minutes).otherwise(hours)
+    return F.when(s < 60, F.concat(raw, F.lit(" seconds"))).when(s < 3600, minutes).otherwise(hours)
