@@ -11,6 +11,7 @@ from creditecho.operators import encoders as E
 from creditecho.operators import metrics as M
 from creditecho.operators import splits as S
 from creditecho.sources import sinks
+from creditecho.session import checkpointed
 from creditecho.sources.tables import loans, table
 
 R = Registry()
@@ -248,23 +249,26 @@ _CV_SUMMARY = f"""{_CV} SELECT model, upper(replace(metric,'_',' ')) AS metric,
 FROM f GROUP BY model, metric"""
 
 
-def _folded(spark, sf):
-    return S.stratified_folds(train_part(loans(spark, sf)))
+def _fold_scores(spark, sf):
+    """Out-of-fold scorecard predictions, written once as a stored prediction table would be."""
+    columns = ["id", "default_flag", "loan_amnt", "annual_inc", "tot_cur_bal", "total_rev_hi_lim", "delinq_2yrs"]
+    train = checkpointed(train_part(loans(spark, sf).select(*columns)))
+    return checkpointed(scorecards(S.stratified_folds(train)))
 
 
 @R.add("cv_evaluate", f"{_CV} SELECT model, fold, metric, round(score,6) AS score FROM f")
 def _(spark, sf):
-    return rounded(M.fold_scores(scorecards(_folded(spark, sf))))
+    return rounded(M.fold_scores(_fold_scores(spark, sf)))
 
 
 @R.add("cv_summary", _CV_SUMMARY)
 def _(spark, sf):
-    return rounded(M.cv_summary(M.fold_scores(scorecards(_folded(spark, sf)))))
+    return rounded(M.cv_summary(M.fold_scores(_fold_scores(spark, sf))))
 
 
 @R.add("union_cv", _CV_SUMMARY)
 def _(spark, sf):
-    pred, out = scorecards(_folded(spark, sf)), None
+    pred, out = _fold_scores(spark, sf), None
     for model in ("income_card", "balance_card", "delinq_card"):
         part = M.cv_summary(M.fold_scores(pred.filter(F.col("model") == model)))
         out = part if out is None else out.unionByName(part)
@@ -274,7 +278,7 @@ def _(spark, sf):
 @R.add("sink_reports", f"{_EVAL} SELECT a.model, {_SEVEN} FROM a JOIN m ON a.model=m.model")
 def _(spark, sf):
     results = rounded(M.evaluate_all(scorecards(loans(spark, sf)))).orderBy(F.col("roc_auc").desc())
-    scores = rounded(M.cv_summary(M.fold_scores(scorecards(_folded(spark, sf)))))
+    scores = rounded(M.cv_summary(M.fold_scores(_fold_scores(spark, sf))))
     folder = sinks.work_folder(spark, "reports")
     sinks.write_reports(results, scores, M.compare_models(results), folder)
     schema = ", ".join(f"`{c}` {t}" for c, t in results.dtypes)

@@ -79,7 +79,6 @@ class SearchOptions:
     min_sim: float = 0.5
     max_bm25_only: int = MAX_BM25_ONLY
     limit: int = 0
-    include_zero: bool = False
 
 
 @dataclass(frozen=True)
