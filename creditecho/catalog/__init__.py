@@ -1,9 +1,9 @@
 """Registered queries with their DuckDB statements."""
 from __future__ import annotations
 
-from creditecho.catalog import features, loans, reviews, scoring, search
+from creditecho.catalog import features, loans, models, reviews, scoring, search
 
-PARTS = (loans.R, features.R, scoring.R, reviews.R, search.R)
+PARTS = (loans.R, features.R, scoring.R, reviews.R, search.R, models.R)
 
 
 def all_runs() -> dict:
