@@ -57,7 +57,7 @@ def _register(name: str, rule) -> None:
 
     @R.add(f"feat_{name}", f"WITH {LOANS_NUM} SELECT id, {f'round({text}, 6)' if curve else text} AS {name} FROM num{stats}")
     def _(spark, sf):
-        out = X.engineer_features(numeric_loans(spark, sf), [name]).select("id", name)
+        out = X.engineer_features(numeric_loans(spark, sf, isinstance(rule, X.QuantileFlag)), [name]).select("id", name)
         return rounded(out) if curve else out
 
 

@@ -11,18 +11,19 @@ from creditecho.operators import describe as D
 from creditecho.operators import features as X
 from creditecho.sources.readers import read_loans
 from creditecho.sources.sinks import work_folder
-from creditecho.sources.tables import loans
+from creditecho.sources.tables import loans, stored_loans
 
 R = Registry()
 NUMERIC = list(FEATURE_KINDS["numeric_features"])
 
 
-def numeric_loans(spark, sf):
-    return loans(spark, sf).withColumn("emp_length", C.employment_years(F.col("emp_length")))
+def numeric_loans(spark, sf, stored=False):
+    source = stored_loans if stored else loans
+    return source(spark, sf).withColumn("emp_length", C.employment_years(F.col("emp_length")))
 
 
 def cleaned_loans(spark, sf):
-    return C.clean_loans(loans(spark, sf), keep=("id",)).data
+    return C.clean_loans(stored_loans(spark, sf), keep=("id",)).data
 
 
 @R.add("src_loans", f"WITH {LOANS} SELECT * FROM loans")
@@ -71,7 +72,7 @@ _FILL = ["emp_length", "open_acc", "total_acc", "tot_cur_bal", "total_rev_hi_lim
 @R.add("fill_median", f"""WITH {LOANS_NUM}, m AS (SELECT {", ".join(f"quantile_cont(CAST({c} AS DOUBLE),0.5) AS {c}" for c in _FILL)} FROM num)
 SELECT id, {", ".join(f"round(coalesce(CAST(n.{c} AS DOUBLE), m.{c}),6) AS {c}" for c in _FILL)} FROM num n, m""")
 def _(spark, sf):
-    return rounded(C.fill_median(numeric_loans(spark, sf), _FILL).select("id", *_FILL))
+    return rounded(C.fill_median(numeric_loans(spark, sf, True), _FILL).select("id", *_FILL))
 
 
 @R.add("clean_data", f"WITH {CLEANED} SELECT id, {', '.join(f'round({c},6) AS {c}' for c in CLEAN_NUMERIC)}, emp_title, default_flag FROM cleaned")
@@ -152,7 +153,7 @@ SELECT feature, round(m0,3) AS non_default_mean, round(m1,3) AS default_mean, ro
   round(d0,3) AS non_default_median, round(d1,3) AS default_median,
   round(CASE WHEN s0>0 THEN (m1-m0)/s0 ELSE 0 END,6) AS effect_size FROM t""")
 def _(spark, sf):
-    return rounded(D.numeric_by_target(loans(spark, sf), features=NUMERIC), 3, effect_size=6)
+    return rounded(D.numeric_by_target(stored_loans(spark, sf), features=NUMERIC), 3, effect_size=6)
 
 
 @R.add("cat_by_target", f"""WITH {LOANS}, g AS (
@@ -194,12 +195,12 @@ def _(spark, sf):
 SELECT id, l.default_flag, tot_cur_bal, round(q1-1.5*(q3-q1),4) AS lower_bound, round(q3+1.5*(q3-q1),4) AS upper_bound
 FROM loans l JOIN q ON l.default_flag=q.default_flag WHERE tot_cur_bal < q1-1.5*(q3-q1) OR tot_cur_bal > q3+1.5*(q3-q1)""")
 def _(spark, sf):
-    return rounded(D.iqr_outliers(loans(spark, sf), "tot_cur_bal"), 4)
+    return rounded(D.iqr_outliers(stored_loans(spark, sf), "tot_cur_bal"), 4)
 
 
 @R.add("eda_summary")
 def _(spark, sf):
-    return D.eda_summary_frame(loans(spark, sf), NUMERIC, ["term", "emp_title"])
+    return D.eda_summary_frame(stored_loans(spark, sf), NUMERIC, ["term", "emp_title"])
 
 
 _HIST = ["loan_amnt", "annual_inc", "open_acc", "tot_cur_bal"]
@@ -217,7 +218,7 @@ def _(spark, sf):
 SELECT default_flag, feature, round(avg(x),3) AS mean, {", ".join(f"round(quantile_cont(x,{p}),3) AS p{round(p * 100):02d}" for p in (0.05, 0.25, 0.5, 0.75, 0.95))}
 FROM u GROUP BY default_flag, feature""")
 def _(spark, sf):
-    return rounded(D.distribution_by_target(loans(spark, sf), _HIST), 3)
+    return rounded(D.distribution_by_target(stored_loans(spark, sf), _HIST), 3)
 
 
 _TYPES = {"emp_length": "string", "emp_title": "string", "delinq_2yrs": "bigint", "open_acc": "bigint", "total_acc": "bigint"}
@@ -257,7 +258,7 @@ def _(spark, sf):
     f"SELECT '{c}' AS feature, " + ", ".join(f"round(quantile_cont({c}::DOUBLE,{p}),4) AS q{round(p * 100)}" for p in (0.2, 0.25, 0.75, 0.8))
     + " FROM loans" for c in QUANTILE_COLUMNS))
 def _(spark, sf):
-    stats = X.fit_stats(loans(spark, sf))
+    stats = X.fit_stats(stored_loans(spark, sf))
     rows = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c)["q20"].alias("q20"), F.col(c)["q25"].alias("q25"),
                               F.col(c)["q75"].alias("q75"), F.col(c)["q80"].alias("q80")) for c in QUANTILE_COLUMNS])
     return rounded(stats.select(F.inline(rows)), 4)

@@ -31,8 +31,9 @@ COLUMNS = [*dict.fromkeys(NOTEBOOK_SELECTED)]
 
 def credit_parts(spark, sf):
     """(train, test) of the cleaned loans with the selected features, written once."""
-    made = X.engineer_features(cleaned_loans(spark, sf), [c for c in COLUMNS if c != "annual_inc"])
-    parts = checkpointed(S.stratified_split(made.select("id", "default_flag", *COLUMNS)))
+    clean = checkpointed(cleaned_loans(spark, sf))
+    made = X.engineer_features(clean, [c for c in COLUMNS if c != "annual_inc"])
+    parts = checkpointed(S.stratified_split(checkpointed(made.select("id", "default_flag", *COLUMNS))))
     return parts.filter(~F.col("is_test")).drop("is_test"), parts.filter(F.col("is_test")).drop("is_test")
 
 
@@ -43,7 +44,7 @@ def fitted(spark, sf, name, balance="smote"):
 
 @R.add("preprocess")
 def _(spark, sf):
-    df = cleaned_loans(spark, sf)
+    df = checkpointed(cleaned_loans(spark, sf))
     pre = fit_preprocessor(df, "default_flag", "id", scale=True)
     rows = pre.transform(df, ["id"])
     return rows.select("id", vector_to_array("features").alias("f")).select("id", F.size("f").alias("slots"), F.get("f", F.lit(0)).alias("first_slot"))

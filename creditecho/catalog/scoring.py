@@ -39,13 +39,9 @@ def train_part(df):
     return S.stratified_split(df).filter(~F.col("is_test")).drop("is_test")
 
 
-def test_part(df):
-    return S.stratified_split(df).filter(F.col("is_test")).drop("is_test")
-
-
 @R.add("folds_stratified", f"{_FOLDS} SELECT id, default_flag, fold FROM folded")
 def _(spark, sf):
-    return S.stratified_folds(train_part(loans(spark, sf).select("id", "default_flag")))
+    return S.stratified_folds(checkpointed(train_part(checkpointed(loans(spark, sf).select("id", "default_flag")))))
 
 
 # ---------------------------------------------------------------- encoders
@@ -54,8 +50,9 @@ test AS (SELECT * FROM placed WHERE position <= round(0.2::DOUBLE*class_rows))""
 
 
 def _parts(spark, sf):
-    df = numeric_loans(spark, sf)
-    return train_part(df), test_part(df)
+    df = numeric_loans(spark, sf, True)
+    parts = checkpointed(S.stratified_split(df))
+    return parts.filter(~F.col("is_test")).drop("is_test"), parts.filter(F.col("is_test")).drop("is_test")
 
 
 @R.add("impute_median", f"""{_PARTS}, m AS (SELECT quantile_cont(tot_cur_bal,0.5) AS b, quantile_cont(open_acc::DOUBLE,0.5) AS o FROM train)
@@ -137,6 +134,11 @@ def scorecards(df):
     )
 
 
+def predictions(spark, sf):
+    """Scorecard predictions written once, as a stored prediction table."""
+    return checkpointed(scorecards(loans(spark, sf)))
+
+
 _ROC = f"""WITH {LOANS}, {_CARDS}, g AS (SELECT model, probability, sum(label) AS pos, sum(1-label) AS neg FROM pred GROUP BY 1,2),
 roc AS (SELECT model, probability, pos, neg, sum(pos) OVER w AS tp, sum(neg) OVER w AS fp, sum(pos) OVER (PARTITION BY model) AS p, sum(neg) OVER (PARTITION BY model) AS n
   FROM g WINDOW w AS (PARTITION BY model ORDER BY probability DESC))"""
@@ -153,22 +155,22 @@ m AS (SELECT {by}, (tp+tn)/n AS accuracy, CASE WHEN tp+fp=0 THEN 0 ELSE tp/(tp+f
 
 @R.add("roc_points", f"{_ROC} SELECT model, probability, round(CAST(tp AS DOUBLE)/p,6) AS tpr, round(CAST(fp AS DOUBLE)/n,6) AS fpr FROM roc")
 def _(spark, sf):
-    return rounded(M.roc_points(scorecards(loans(spark, sf))).select("model", "probability", "tpr", "fpr"))
+    return rounded(M.roc_points(predictions(spark, sf)).select("model", "probability", "tpr", "fpr"))
 
 
 @R.add("auc", f"{_AUC} SELECT model, round(auc,6) AS roc_auc FROM a")
 def _(spark, sf):
-    return rounded(M.auc_ks(scorecards(loans(spark, sf))).select("model", "roc_auc"))
+    return rounded(M.auc_ks(predictions(spark, sf)).select("model", "roc_auc"))
 
 
 @R.add("gini", f"{_AUC} SELECT model, round(2*(auc-0.5),6) AS gini FROM a")
 def _(spark, sf):
-    return rounded(M.auc_ks(scorecards(loans(spark, sf))).select("model", "gini"))
+    return rounded(M.auc_ks(predictions(spark, sf)).select("model", "gini"))
 
 
 @R.add("ks", f"{_AUC} SELECT model, round(ks,6) AS ks_statistic FROM a")
 def _(spark, sf):
-    return rounded(M.auc_ks(scorecards(loans(spark, sf))).select("model", "ks_statistic"))
+    return rounded(M.auc_ks(predictions(spark, sf)).select("model", "ks_statistic"))
 
 
 _EVAL = f"{_AUC}, {_cls('model', 'pred')}"
@@ -179,7 +181,7 @@ _SEVEN = """round(auc,6) AS roc_auc, round(2*(auc-0.5),6) AS gini, round(ks,6) A
 @R.add("cls_metrics", f"""WITH {LOANS}, {_CARDS}, {_cls('model', 'pred')} SELECT model, round(accuracy,6) AS accuracy, round(precision_,6) AS "precision",
   round(recall_,6) AS recall, round(f1_score,6) AS f1_score FROM m""")
 def _(spark, sf):
-    return rounded(M.cls_metrics(scorecards(loans(spark, sf))))
+    return rounded(M.cls_metrics(predictions(spark, sf)))
 
 
 @R.add("class_report", f"""WITH {LOANS}, {_CARDS}, k AS (SELECT model, count(*) FILTER (WHERE label=1 AND prediction=1)::DOUBLE AS tp, count(*) FILTER (WHERE label=0 AND prediction=1)::DOUBLE AS fp,
@@ -191,18 +193,18 @@ SELECT model, class, round(p,6) AS "precision", round(r,6) AS recall, round(f,6)
 UNION ALL SELECT model, 'macro avg', round(avg(p),6), round(avg(r),6), round(avg(f),6), CAST(sum(support) AS BIGINT) FROM s GROUP BY model
 UNION ALL SELECT model, 'weighted avg', round(sum(p*support)/sum(support),6), round(sum(r*support)/sum(support),6), round(sum(f*support)/sum(support),6), CAST(sum(support) AS BIGINT) FROM s GROUP BY model""")
 def _(spark, sf):
-    return rounded(M.class_report(scorecards(loans(spark, sf))))
+    return rounded(M.class_report(predictions(spark, sf)))
 
 
 @R.add("confusion", f"""WITH {LOANS}, {_CARDS}, g AS (SELECT * FROM (SELECT DISTINCT model FROM pred), (VALUES (0,0),(0,1),(1,0),(1,1)) v(label, prediction))
 SELECT g.model, g.label, g.prediction, count(pred.id) AS n FROM g LEFT JOIN pred ON g.model=pred.model AND g.label=pred.label AND g.prediction=pred.prediction GROUP BY 1,2,3""")
 def _(spark, sf):
-    return M.confusion(scorecards(loans(spark, sf)))
+    return M.confusion(predictions(spark, sf))
 
 
 @R.add("evaluate_all", f"{_EVAL} SELECT a.model, {_SEVEN} FROM a JOIN m ON a.model=m.model")
 def _(spark, sf):
-    return rounded(M.evaluate_all(scorecards(loans(spark, sf))))
+    return rounded(M.evaluate_all(predictions(spark, sf)))
 
 
 _TITLE = "array_to_string(list_transform(string_split(a.model,'_'), lambda w: upper(w[1]) || lower(w[2:])), ' ')"
@@ -211,21 +213,21 @@ _TITLE = "array_to_string(list_transform(string_split(a.model,'_'), lambda w: up
 @R.add("compare_models", f"""{_EVAL} SELECT {_TITLE} AS model, round(auc,6) AS roc_auc, round(f1_score,6) AS f1_score, round(accuracy,6) AS accuracy,
   round(precision_,6) AS "precision", round(recall_,6) AS recall FROM a JOIN m ON a.model=m.model""")
 def _(spark, sf):
-    return rounded(M.compare_models(M.evaluate_all(scorecards(loans(spark, sf)))))
+    return rounded(M.compare_models(M.evaluate_all(predictions(spark, sf))))
 
 
 @R.add("sort_models", f"""{_EVAL} SELECT a.model, row_number() OVER (ORDER BY auc DESC, a.model) AS place, round(auc,6) AS roc_auc FROM a JOIN m ON a.model=m.model""")
 def _(spark, sf):
     from pyspark.sql import Window as W
 
-    results = M.evaluate_all(scorecards(loans(spark, sf)))
+    results = M.evaluate_all(predictions(spark, sf))
     order = W.partitionBy(F.lit(0)).orderBy(F.col("roc_auc").desc(), "model")  # one row per model
     return rounded(results.select("model", F.row_number().over(order).alias("place"), "roc_auc"))
 
 
 @R.add("best_model", f"""{_EVAL} SELECT min(model) AS best_model, round(max(auc),6) AS roc_auc FROM a WHERE auc = (SELECT max(auc) FROM a)""")
 def _(spark, sf):
-    return rounded(M.best_model(M.evaluate_all(scorecards(loans(spark, sf)))))
+    return rounded(M.best_model(M.evaluate_all(predictions(spark, sf))))
 
 
 @R.add("title_case", f"""WITH {LOANS}, a AS (SELECT replace(lower(emp_title),' ','_') AS model, count(*) AS n FROM loans WHERE emp_title IS NOT NULL GROUP BY 1)
@@ -252,7 +254,7 @@ FROM f GROUP BY model, metric"""
 def _fold_scores(spark, sf):
     """Out-of-fold scorecard predictions, written once as a stored prediction table would be."""
     columns = ["id", "default_flag", "loan_amnt", "annual_inc", "tot_cur_bal", "total_rev_hi_lim", "delinq_2yrs"]
-    train = checkpointed(train_part(loans(spark, sf).select(*columns)))
+    train = checkpointed(train_part(checkpointed(loans(spark, sf).select(*columns))))
     return checkpointed(scorecards(S.stratified_folds(train)))
 
 
@@ -277,7 +279,7 @@ def _(spark, sf):
 
 @R.add("sink_reports", f"{_EVAL} SELECT a.model, {_SEVEN} FROM a JOIN m ON a.model=m.model")
 def _(spark, sf):
-    results = rounded(M.evaluate_all(scorecards(loans(spark, sf)))).orderBy(F.col("roc_auc").desc())
+    results = rounded(M.evaluate_all(predictions(spark, sf))).orderBy(F.col("roc_auc").desc())
     scores = rounded(M.cv_summary(M.fold_scores(_fold_scores(spark, sf))))
     folder = sinks.work_folder(spark, "reports")
     sinks.write_reports(results, scores, M.compare_models(results), folder)

@@ -74,9 +74,13 @@ def term_stats(docs: DataFrame, corpus: DataFrame) -> DataFrame:
     return raw.withColumn("idf", F.when(F.col("_raw") < 0, floor).otherwise(F.col("_raw"))).select("term", "df", "idf")
 
 
-def build_index(docs: DataFrame) -> Index:
-    corpus = corpus_stats(docs)
-    return Index(docs, term_stats(docs, corpus), corpus)
+def build_index(docs: DataFrame, stored: bool = False) -> Index:
+    """Index over (doc_id, words). ``stored`` writes the tables to the checkpoint folder, for plans that
+    read them more than once; ``save_index`` keeps them for later sessions."""
+    keep = checkpointed if stored else (lambda df: df)
+    docs = keep(docs)
+    corpus = keep(corpus_stats(docs))
+    return Index(docs, keep(term_stats(docs, corpus)), corpus)
 
 
 def query_terms(queries: DataFrame) -> DataFrame:

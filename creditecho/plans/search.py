@@ -19,16 +19,19 @@ def fetch_reviews(hits: DataFrame, reviews: DataFrame, columns=REVIEW) -> DataFr
     return hits.join(reviews.select(*present).withColumnRenamed("id", "doc_id"), "doc_id")
 
 
+def word_list(reviews: DataFrame, queries: DataFrame, options: SearchOptions = SearchOptions()) -> DataFrame:
+    """Ranked word hits of every query, written once because later steps read them repeatedly."""
+    index = bm25.build_index(bm25.tokenized(reviews, "id", "feedback"), stored=True)
+    return checkpointed(bm25.top_documents(index, queries, options.k_lex))
+
+
 def search_baseline(
     reviews: DataFrame, queries: DataFrame, options: SearchOptions = SearchOptions(), fallback: bool = False,
-    index: bm25.Index | None = None,
+    words: DataFrame | None = None,
 ) -> DataFrame:
     """Word search: positive BM25 hits in rank order, optionally substring matches when there is none."""
-    index = index or bm25.build_index(bm25.tokenized(reviews, "id", "feedback"))
-    k = options.k_lex
-    if options.limit > 0:
-        k = min(k, options.limit) if k > 0 else options.limit
-    hits = bm25.top_documents(index, queries, k).select("query_id", "doc_id", "bm25", "rank")
+    words = words if words is not None else word_list(reviews, queries, options)
+    hits = fusion.limit_per_query(words.select("query_id", "doc_id", "bm25", "rank"), options.limit)
     if fallback:
         hits = bm25.with_fallback(hits, queries, reviews, "id", ["feedback", "title"])
         hits = fusion.limit_per_query(hits, options.limit)
@@ -47,16 +50,14 @@ def vector_list(queries: DataFrame, vectors: DataFrame, k: int, min_sim: float |
 
 def fused_hits(
     reviews: DataFrame, queries: DataFrame, vectors: DataFrame, options: SearchOptions = SearchOptions(),
-    scorer: Column | None = None, index: bm25.Index | None = None,
+    scorer: Column | None = None, words: DataFrame | None = None,
 ) -> DataFrame:
     """(query_id, doc_id, rank, rrf, bm25, sim, similarity) after fusion, filter and limit."""
-    index = index or bm25.build_index(bm25.tokenized(reviews, "id", "feedback"))
     bounded = options.k_lex > 0 and options.k_vec > 0
-    words = bm25.top_documents(index, queries, options.k_lex)
+    words = words if words is not None else word_list(reviews, queries, options)
     limit = options.min_sim if options.min_sim > 0 else None
     near = vector_list(queries, vectors, options.k_vec, limit)
-    if not bounded:
-        words, near = checkpointed(words), checkpointed(near)
+    near = checkpointed(near)
     fused = fusion.rrf(fusion.ranked_lists(bm25=words, vectors=near), options.rrf_k, bounded)
     fused = fusion.with_similarity(fused, near).join(
         words.select("query_id", "doc_id", "bm25"), ["query_id", "doc_id"], "left"
@@ -73,10 +74,10 @@ def fused_hits(
 
 def search_hybrid(
     reviews: DataFrame, queries: DataFrame, vectors: DataFrame, options: SearchOptions = SearchOptions(),
-    scorer: Column | None = None, index: bm25.Index | None = None,
+    scorer: Column | None = None, words: DataFrame | None = None,
 ) -> DataFrame:
     """Word and vector search fused by reciprocal ranks, with review rows attached."""
-    return fetch_reviews(fused_hits(reviews, queries, vectors, options, scorer, index), reviews)
+    return fetch_reviews(fused_hits(reviews, queries, vectors, options, scorer, words), reviews)
 
 
 def summarize(results: DataFrame, by: list[str] = ("query_id",)) -> DataFrame:
@@ -93,10 +94,10 @@ def evaluate_queries(
 
     The two result lists are written once to the checkpoint folder, since the metrics read them repeatedly.
     """
-    index = bm25.build_index(bm25.tokenized(reviews, "id", "feedback"))
+    words = word_list(reviews, queries, options)
     keep = ["query_id", "side", "score", "sentiment_label", "sentiment_score"]
-    plain = search_baseline(reviews, queries, options, fallback=True, index=index).withColumn("side", F.lit("baseline"))
-    mixed = search_hybrid(reviews, queries, vectors, options, index=index).withColumn("side", F.lit("rag"))
+    plain = search_baseline(reviews, queries, options, fallback=True, words=words).withColumn("side", F.lit("baseline"))
+    mixed = search_hybrid(reviews, queries, vectors, options, words=words).withColumn("side", F.lit("rag"))
     results = checkpointed(plain.select(keep).unionByName(mixed.select(keep)))
     cls = sentiment_class(F.col("sentiment_score"), null_as_neutral=True)
     rates = results.groupBy("query_id", "side").agg(

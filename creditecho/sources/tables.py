@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creditecho.session import pin_utc
+from creditecho.session import checkpointed, pin_utc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -65,6 +65,11 @@ def loans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def stored_loans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The loan view written once, for operators that read their input several times."""
+    return checkpointed(loans(spark, sf_dir))
+
+
 def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as reviews, with stored sentiment where a label exists."""
     docs = table(spark, sf_dir, "documents")
