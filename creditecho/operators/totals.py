@@ -6,6 +6,9 @@ balance, never results), totals per range give offsets, and the exact order is t
 """
 from __future__ import annotations
 
+from functools import reduce
+from operator import add
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -24,7 +27,10 @@ def range_limits(df: DataFrame, value: Column, ranges: int) -> Column:
 
 
 def _count_up_to(limits: Column, v: Column, ranges: int) -> Column:
-    """How many sorted limits are <= v, by halving steps."""
+    """How many sorted limits are <= v: plain comparisons for few ranges, halving steps for many."""
+    if ranges <= 64:
+        tests = [F.when(F.get(limits, F.lit(i)) <= v, F.lit(1)).otherwise(F.lit(0)) for i in range(ranges - 1)]
+        return reduce(add, tests)
     steps, step = [], 1
     while step < ranges:
         steps.insert(0, step)

@@ -7,8 +7,19 @@ from pyspark.sql import functions as F
 from creditecho.session import checkpointed, pin_utc
 
 
+# Tables with heavy per-row work; the others are lookups.
+WIDE_TABLES = ("documents", "pages", "orders", "lineitem", "events")
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Uses all cores for an input of fewer splits than cores (one small file); larger inputs stay as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return pin_utc(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    df = pin_utc(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(df) if name in WIDE_TABLES else df
 
 
 def loans(spark: SparkSession, sf_dir: str) -> DataFrame:
