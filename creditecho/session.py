@@ -5,6 +5,8 @@ import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
+SPREAD_ROWS = 50_000
+
 
 def build_session(app: str = "creditecho", master: str | None = None, **conf: str) -> SparkSession:
     builder = (
@@ -31,11 +33,16 @@ def pin_utc(spark: SparkSession) -> SparkSession:
 def checkpointed(df: DataFrame) -> DataFrame:
     """Cut lineage through the shared folder named in ``spark.checkpoint.dir``.
 
-    Only where the session names none (tests, one machine) a private folder is set.
+    Only where the session names none (tests, one machine) a private folder is set. A result that arrived
+    in fewer partitions than cores is spread over them, since it is stored to be read several times.
     """
     spark = df.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
         context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="creditecho-ckpt-"))
-    return df.checkpoint()
+    out = df.checkpoint()
+    cores = context.defaultParallelism
+    if out.rdd.getNumPartitions() < cores and out.count() > SPREAD_ROWS:
+        out = out.repartition(cores).checkpoint()
+    return out
