@@ -265,7 +265,7 @@ def metrics_sql(source: str, by: str) -> str:
     )
     safe = "CASE WHEN stddev_pop({x}) > 1e-12 AND stddev_pop({y}) > 1e-12 THEN corr({x},{y}) END"
     return f"""mc AS (SELECT *, CASE WHEN sentiment_score <= -0.2 THEN 'negative' WHEN sentiment_score >= 0.2 THEN 'positive' WHEN sentiment_score IS NOT NULL THEN 'neutral' END AS k FROM {source}),
-mb AS (SELECT {parts}, count(*) AS count, avg(sentiment_score) AS sentiment_mean, quantile_cont(sentiment_score,0.5) AS sentiment_median, stddev_samp(sentiment_score) AS sentiment_std, {ratios},
+mb AS (SELECT {parts}, count(*) AS count, CAST(sum(CAST(round(sentiment_score*1e10) AS BIGINT)) AS DOUBLE)/1e10/nullif(count(sentiment_score),0) AS sentiment_mean, quantile_cont(sentiment_score,0.5) AS sentiment_median, stddev_samp(sentiment_score) AS sentiment_std, {ratios},
   avg(CASE WHEN k='negative' THEN 1.0::DOUBLE ELSE 0 END) FILTER (WHERE score <= 2 AND k IS NOT NULL) AS rate_negative_for_score_le_2,
   avg(CASE WHEN k='positive' THEN 1.0::DOUBLE ELSE 0 END) FILTER (WHERE score >= 3 AND k IS NOT NULL) AS rate_positive_for_score_ge_3,
   avg(CASE WHEN k='negative' THEN 1.0::DOUBLE ELSE 0 END) AS negative_rate, avg(CASE WHEN k='positive' THEN 1.0::DOUBLE ELSE 0 END) AS positive_rate FROM mc GROUP BY {parts}),
