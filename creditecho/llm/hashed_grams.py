@@ -101,7 +101,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, max_rows: in
         marks = marks.filter(allowed(F.col("_id")))
     marks = marks.groupBy("_id").agg(F.when(F.avg("_y") >= 0.5, 1).otherwise(0).alias("_y"))
     marks = marks.orderBy(F.xxhash64("_id"), "_id").limit(max_rows)
-    return docs.join(F.broadcast(marks), F.col("doc_id") == F.col("_id")).select("doc_id", "text", "_y")
+    texts = docs.select("doc_id", "text")
+    return texts.join(F.broadcast(marks), F.col("doc_id") == F.col("_id")).select("doc_id", "text", "_y")
 
 
 def training_rows(sample: DataFrame, grams: Grams) -> list[tuple[int, int, np.ndarray, np.ndarray]]:

@@ -75,7 +75,8 @@ class Sets:
         """16 bytes that stand for each set."""
         out = []
         for salt in (1, 2):
-            total = np.concatenate([[0], np.cumsum(mixed(self.h ^ _U(salt * 0x51ED270B9F3C2A75)), dtype=np.uint64)]).astype(np.uint64)
+            total = np.zeros(len(self.h) + 1, np.uint64)
+            np.cumsum(mixed(self.h ^ _U(salt * 0x51ED270B9F3C2A75)), dtype=np.uint64, out=total[1:])
             out.append(mixed(total[self.begin + self.n] - total[self.begin] + self.n.astype(np.uint64)))
         both = np.column_stack(out).astype(">u8")
         return [row.tobytes() for row in both]
@@ -299,8 +300,9 @@ def one_per_class(docs: DataFrame, **options) -> DataFrame:
     """The document with the least doc_id of every class, with all columns; of rows that repeat a doc_id one stays. Documents without a doc_id
     cannot be told apart by it: one of each text stays."""
     kept = jaccard_classes(docs.select("doc_id", "text"), **options)
-    kept = kept.filter("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
-    named = docs.filter("doc_id is not null").join(kept, F.col("doc_id") == F.col("_kept")).drop("_kept")
-    rows = named.unionByName(docs.filter("doc_id is null"))
-    nth = F.row_number().over(W.partitionBy("doc_id", F.when(F.col("doc_id").isNull(), F.md5("text"))).orderBy(F.xxhash64("text")))
-    return rows.withColumn("_nth", nth).filter("_nth = 1").drop("_nth")
+    kept = kept.filter("doc_id = component_id").select("doc_id").distinct()
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").alias("key"), F.xxhash64("text").alias("text_hash"))
+    named = rows.filter("key is not null").join(kept, F.col("key") == kept["doc_id"]).drop(kept["doc_id"])
+    every = named.unionByName(rows.filter("key is null"))
+    place = W.partitionBy("key", F.when(F.col("key").isNull(), F.col("text_hash"))).orderBy("text_hash")
+    return every.withColumn("nth", F.row_number().over(place)).filter("nth = 1").select("row.*")

@@ -133,21 +133,17 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
 
     Rows that share a doc_id are told apart by their size; equal rows share their copies evenly, the first ones by row order.
     """
-    names = docs.columns
-    plan = mix_plan(docs, **options).groupBy("doc_id", "source", "size").agg(
-        F.sum("copies").alias("_copies"), F.count("*").alias("_same")
+    plan = mix_plan(docs, **options).groupBy("doc_id", "source", "size").agg(F.sum("copies").alias("copies"), F.count("*").alias("same"))
+    plan = plan.filter("copies > 0").select(
+        F.col("doc_id").alias("p_id"), F.col("source").alias("p_source"), F.col("size").alias("p_size"), "copies", "same"
     )
-    plan = plan.filter("_copies > 0").select(
-        F.col("doc_id").alias("_id"), F.col("source").alias("_src"), F.col("size").alias("_sz"), "_copies", "_same"
+    rows = docs.select(
+        F.struct(*docs.columns).alias("row"), F.col("doc_id").alias("id"), F.col("source").alias("from"), word_count(F.col("text")).alias("size")
     )
-    sized = docs.withColumn("_size", word_count(F.col("text")))
-    joined = sized.join(
-        plan, _same(F.col("doc_id"), F.col("_id")) & _same(F.col("source"), F.col("_src")) & (F.col("_size") == F.col("_sz"))
-    )
-    repeated = W.partitionBy("_id", "_src", "_sz").orderBy("text")
-    single = joined.filter("_same = 1").withColumn("_times", F.col("_copies"))
-    several = joined.filter("_same > 1").withColumn("_nth", F.row_number().over(repeated) - 1)
-    share = F.floor((F.col("_copies") + F.col("_same") - 1 - F.col("_nth")) / F.col("_same"))
-    several = several.withColumn("_times", share).drop("_nth")
-    out = single.unionByName(several).filter("_times > 0")
-    return out.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times").cast("int")))).select(*names)
+    joined = rows.join(plan, _same(rows["id"], plan["p_id"]) & _same(rows["from"], plan["p_source"]) & (rows["size"] == plan["p_size"]))
+    single = joined.filter("same = 1").withColumn("times", F.col("copies"))
+    nth = F.row_number().over(W.partitionBy("id", "from", "size").orderBy(F.xxhash64("row.text"))) - 1
+    share = F.floor((F.col("copies") + F.col("same") - 1 - nth) / F.col("same")).cast("long")
+    several = joined.filter("same > 1").withColumn("times", share)
+    out = single.unionByName(several).filter("times > 0")
+    return out.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("times").cast("int")))).select("row.*")
