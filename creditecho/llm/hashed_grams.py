@@ -118,9 +118,19 @@ def training_rows(sample: DataFrame, grams: Grams) -> list[tuple[int, int, np.nd
                 pa.array([w.astype(np.float32).tobytes() for _, w in rows], pa.binary()),
             ], names=["doc_id", "y", "x", "w"])
 
-    rows = sample.mapInArrow(count, "doc_id long, y int, x binary, w binary").toArrow().to_pylist()
-    rows.sort(key=lambda r: (r["doc_id"], r["x"], r["w"]))
+    table = sample.mapInArrow(count, "doc_id long, y int, x binary, w binary").toArrow().combine_chunks()
     kind = np.uint16 if grams.buckets <= 65536 else np.uint32
-    return [
-        (r["doc_id"], r["y"], np.frombuffer(r["x"], kind).astype(np.int64), np.frombuffer(r["w"], np.float32)) for r in rows
-    ]
+
+    def views(name: str, dtype: type) -> list[np.ndarray]:
+        """Each row as a view into the column's one buffer; nothing is copied on the driver."""
+        column = table.column(name).combine_chunks()
+        if not len(column):
+            return []
+        _, offsets, data = column.buffers()
+        cut = np.frombuffer(offsets, np.int32)[column.offset: column.offset + len(column) + 1].tolist()
+        flat = np.frombuffer(data, np.uint8) if data else np.zeros(0, np.uint8)
+        return [flat[a:b].view(dtype) for a, b in zip(cut[:-1], cut[1:])]
+
+    rows = list(zip(table.column("doc_id").to_pylist(), table.column("y").to_pylist(), views("x", kind), views("w", np.float32)))
+    rows.sort(key=lambda r: (r[0], len(r[2]), r[2].tobytes()))
+    return rows
