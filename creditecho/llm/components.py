@@ -20,19 +20,18 @@ def _star(links: DataFrame, large: bool) -> DataFrame:
     return out.filter("a != b").distinct()
 
 
-def _state(links: DataFrame) -> tuple:
-    return tuple(links.agg(F.count("*"), F.coalesce(F.bit_xor(F.xxhash64("a", "b")), F.lit(0))).first())
+def _is_settled(links: DataFrame) -> bool:
+    """Every left node has one link and is no right node, so each component is a star around its least node."""
+    left = links.select(F.col("a").alias("n"), F.lit(1).alias("l"), F.lit(0).alias("r"))
+    right = links.select(F.col("b").alias("n"), F.lit(0).alias("l"), F.lit(1).alias("r"))
+    roles = left.unionByName(right).groupBy("n").agg(F.sum("l").alias("l"), F.max("r").alias("r"))
+    return roles.filter("l > 1 or (l = 1 and r = 1)").limit(1).count() == 0
 
 
 def components(links: DataFrame) -> DataFrame:
     """(a, b): every linked node with the least node of its component, the least one itself left out."""
     ordered = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a != b").distinct()
     now = stored(ordered, "links")
-    state = _state(now)
-    while state[0]:
+    while not _is_settled(now):
         now = stored(_star(_star(now, True), False), "links")
-        after = _state(now)
-        if after == state:
-            break
-        state = after
     return now

@@ -5,6 +5,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -108,29 +109,30 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, max_rows: in
 def training_rows(sample: DataFrame, grams: Grams) -> list[tuple[int, int, np.ndarray, np.ndarray]]:
     """(doc_id, label, buckets, weights) of a bounded sample on the driver, in order of doc_id; counting runs on the executors."""
 
+    kind = np.uint16 if grams.buckets <= 65536 else np.uint32
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, parts in groups(batches):
             t = Texts(parts)
-            rows = grams.sparse(t, t.word_hashes())
+            rows, zip_ = grams.sparse(t, t.word_hashes()), zstandard.ZstdCompressor()
             yield pa.RecordBatch.from_arrays([
-                batch.column("doc_id"), batch.column("_y").cast(pa.int32()),
-                pa.array([x.astype(np.uint16 if grams.buckets <= 65536 else np.uint32).tobytes() for x, _ in rows], pa.binary()),
-                pa.array([w.astype(np.float32).tobytes() for _, w in rows], pa.binary()),
-            ], names=["doc_id", "y", "x", "w"])
-
-    table = sample.mapInArrow(count, "doc_id long, y int, x binary, w binary").toArrow().combine_chunks()
-    kind = np.uint16 if grams.buckets <= 65536 else np.uint32
-
-    def views(name: str, dtype: type) -> list[np.ndarray]:
-        """Each row as a view into the column's one buffer; nothing is copied on the driver."""
-        column = table.column(name).combine_chunks()
-        if not len(column):
-            return []
-        _, offsets, data = column.buffers()
-        cut = np.frombuffer(offsets, np.int32)[column.offset: column.offset + len(column) + 1].tolist()
-        flat = np.frombuffer(data, np.uint8) if data else np.zeros(0, np.uint8)
-        return [flat[a:b].view(dtype) for a, b in zip(cut[:-1], cut[1:])]
-
-    rows = list(zip(table.column("doc_id").to_pylist(), table.column("y").to_pylist(), views("x", kind), views("w", np.float32)))
+                batch.column("doc_id"), batch.column("_y").cast(pa.int32()), pa.array([len(x) for x, _ in rows], pa.int64()),
+                pa.array([zip_.compress(x.astype(kind).tobytes() + w.astype(np.float32).tobytes()) for x, w in rows], pa.binary()),
+            ], names=["doc_id", "y", "n", "data"])
+
+    table = sample.mapInArrow(count, "doc_id long, y int, n long, data binary").toArrow()
+    sizes = table.column("n").to_pylist()
+    cut = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)]).tolist()
+    buckets, weights = np.empty(cut[-1], kind), np.empty(cut[-1], np.float32)  # two blocks, given back as a whole
+    unzip, width = zstandard.ZstdDecompressor(), np.dtype(kind).itemsize
+    for a, b, data in zip(cut[:-1], cut[1:], table.column("data")):
+        if b > a:
+            plain = unzip.decompress(data.as_py())
+            buckets[a:b] = np.frombuffer(plain, kind, b - a)
+            weights[a:b] = np.frombuffer(plain, np.float32, b - a, (b - a) * width)
+    keys, marks = table.column("doc_id").to_pylist(), table.column("y").to_pylist()
+    del table
+    pa.default_memory_pool().release_unused()
+    rows = [(k, y, buckets[a:b], weights[a:b]) for k, y, a, b in zip(keys, marks, cut[:-1], cut[1:])]
     rows.sort(key=lambda r: (r[0], len(r[2]), r[2].tobytes()))
     return rows
