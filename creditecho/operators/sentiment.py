@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from creditecho.functions.numeric import safe_corr, share
 from creditecho.functions.text import tokens
-from creditecho.operators.bm25 import fixed_sum
+from creditecho.operators.bm25 import fixed_sum, wide_sum
 from creditecho.operators.joins import lookup_join
 from creditecho.operators.totals import average_ranks, exact_quantiles
 
@@ -135,7 +135,7 @@ def sentiment_summary(
     x = mapped_score(score)
     main = results.groupBy(*by).agg(
         F.count("*").alias("count"),
-        F.try_divide(fixed_sum(s), F.count(s)).alias("sentiment_mean"),
+        F.try_divide(wide_sum(s), F.count(s)).alias("sentiment_mean"),
         F.stddev_samp(s).alias("sentiment_std"),
         *[share(F.count_if(label == k), F.count(label)).alias(f"class_ratio_{k}") for k in LABELS],
         safe_corr(x, s).alias("corr_pearson_score_vs_sentiment"),

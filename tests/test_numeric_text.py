@@ -52,3 +52,10 @@ def test_vectors(spark):
     unit = one(spark, V.l2_normalize(F.array(F.lit(3.0), F.lit(4.0))))[0]
     assert unit == pytest.approx([0.6, 0.8])
     assert one(spark, V.dot(F.array(F.lit(1.0), F.lit(2.0)), F.array(F.lit(3.0), F.lit(4.0))))[0] == 11.0
+
+
+def test_wide_sum_does_not_overflow(spark):
+    from creditecho.operators.bm25 import wide_sum
+
+    df = spark.createDataFrame([(6e8,), (6e8,), (0.1,), (None,)], "x double")
+    assert df.agg(wide_sum(df["x"])).first()[0] == 1_200_000_000.1
