@@ -77,7 +77,7 @@ class SearchOptions:
     k_vec: int = 0
     rrf_k: int = RRF_K
     min_sim: float = 0.5
-    max_bm25_only: int = MAX_BM25_ONLY
+    max_bm25_only: int = 0  # 0: all
     limit: int = 0
 
 

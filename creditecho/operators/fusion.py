@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from creditecho.config import MAX_BM25_ONLY, RRF_K
+from creditecho.config import RRF_K
 from creditecho.operators.bm25 import fixed_sum
 from creditecho.operators.totals import ranked
 
@@ -43,13 +43,15 @@ def with_similarity(fused: DataFrame, vector_hits: DataFrame) -> DataFrame:
     )
 
 
-def min_sim_filter(fused: DataFrame, min_sim: float, max_bm25_only: int = MAX_BM25_ONLY) -> DataFrame:
-    """Vector hits at or above the limit, plus the first rows that only the word search found.
+def min_sim_filter(fused: DataFrame, min_sim: float, max_bm25_only: int = 0) -> DataFrame:
+    """Vector hits at or above the limit, plus the rows that only the word search found: all of them, or the first ``max_bm25_only`` if above 0.
 
-    The second part is a ``row_number() <= n`` filter, cut inside every task before its shuffle.
+    A limited second part is a ``row_number() <= n`` filter, cut inside every task before its shuffle.
     """
     if min_sim <= 0:
         return fused
+    if max_bm25_only <= 0:
+        return fused.filter((F.col("sim") >= min_sim) | F.col("sim").isNull())
     near = fused.filter(F.col("sim") >= min_sim)
     order = W.partitionBy("query_id").orderBy("rank")
     only = fused.filter(F.col("sim").isNull()).withColumn("_n", F.row_number().over(order))
