@@ -7,6 +7,9 @@ first k per query leave a task, never all pairs.
 * many queries: both tables are divided into cells around pivots. A query visits only the cells that can
   still hold one of its k nearest rows (triangle inequality), so the answer stays exact. Large cells are
   split into tiles, and the visitors of a cell into blocks, so no group grows with the data.
+
+A zero vector has cosine 0 with everything. The triangle inequality says nothing about it, so zero rows stay out of the cells; only the
+first k of them by key can be among the nearest, and these join every list.
 """
 from __future__ import annotations
 
@@ -27,7 +30,9 @@ DIGITS = 9
 
 
 def _unit(m: np.ndarray) -> np.ndarray:
-    return m / (np.linalg.norm(m, axis=1, keepdims=True) + 1e-12)
+    """Rows of length 1; zero rows stay zero."""
+    norm = np.linalg.norm(m, axis=1, keepdims=True)
+    return m / np.where(norm > 0, norm, 1.0)
 
 
 def _matrix(column) -> np.ndarray:
@@ -81,7 +86,7 @@ class NearestList:
         r, c = np.nonzero((d <= (cut + slack)[:, None]) & np.isfinite(d))
         if not len(r):
             return
-        exact = np.round(_exact(self.queries[r], vectors[c], self.metric), DIGITS)
+        exact = np.round(_exact(self.queries[r], vectors[c], self.metric), DIGITS) + 0.0  # no negative zero
         row = np.concatenate([self.row, r])
         dist = np.concatenate([self.dist, exact])
         key = np.concatenate([self.key, keys[c]])
@@ -133,8 +138,16 @@ def _cells(
 ) -> DataFrame:
     spark = corpus.sparkSession
     unit = metric == "cosine"
+    need = k + (1 if exclude_self else 0)
+    beside = None
+    if unit:
+        zero = F.coalesce(F.forall("vector", lambda x: x == 0), F.lit(False))
+        beside = _zero_hits(queries, corpus.filter(zero), need, exclude_self)
+        corpus = corpus.filter(~zero)
     space = "euclidean" if unit else metric  # order by angle equals order by distance of unit vectors
     centers = _pivots(corpus, pivots)
+    if not len(centers):
+        return beside if unit else _no_hits(queries)
     centers = _unit(centers) if unit else centers
     shared = spark.sparkContext.broadcast(centers)
 
@@ -152,7 +165,6 @@ def _cells(
     placed = corpus.select("doc_id", "vector").mapInPandas(
         assign, "doc_id long, vector array<double>, cell int, radius double"
     )
-    need = k + (1 if exclude_self else 0)
     sizes = placed.groupBy("cell").agg(F.count("*").alias("n"), F.max("radius").alias("far")).collect()
     inner = (
         top_ranked(placed.select("cell", "doc_id", (-F.col("radius")).alias("_near"), "radius"), ["cell"], "_near", "doc_id", need)
@@ -213,9 +225,24 @@ def _cells(
         return pd.DataFrame({"query_id": ids[best.row], "doc_id": best.key, "distance": best.dist})
 
     keys = ["cell", "tile", "block"]
-    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(
+    found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(
         compare, "query_id long, doc_id long, distance double"
     )
+    return found.unionByName(beside) if unit else found
+
+
+def _no_hits(queries: DataFrame) -> DataFrame:
+    return queries.sparkSession.createDataFrame([], "query_id long, doc_id long, distance double")
+
+
+def _zero_hits(queries: DataFrame, zeros: DataFrame, need: int, exclude_self: bool) -> DataFrame:
+    """The first ``need`` zero rows by key as hits of every query: at most k + 1 keys pass through the driver."""
+    keys = [int(r[0]) for r in zeros.select("doc_id").orderBy("doc_id").limit(need).collect()]
+    if not keys:
+        return _no_hits(queries)
+    listed = F.explode(F.array(*[F.lit(x).cast("long") for x in keys]))
+    hits = queries.select(F.col("query_id").cast("long").alias("query_id"), listed.alias("doc_id"), F.lit(0.0).alias("distance"))
+    return hits.filter("query_id <> doc_id") if exclude_self else hits
 
 
 def nearest(

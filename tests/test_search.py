@@ -95,6 +95,28 @@ def test_neighbours_equal_brute_force_with_copies(spark, metric):
             assert want[(r.query_id, r.rank)] == (r.doc_id, pytest.approx(r.distance, abs=1e-8))
 
 
+@pytest.mark.parametrize("metric", ["cosine", "euclidean"])
+def test_zero_vectors_and_copies_give_the_same_lists_by_scan_and_cells(spark, metric):
+    rng = np.random.default_rng(8)
+    m = rng.normal(size=(120, 3)) + 1.5
+    m[::9] = 0.0
+    m[100:] = m[50]
+    m[60:75] *= -1
+    rows = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(m)], "doc_id long, vector array<double>")
+    queries = rows.withColumnRenamed("doc_id", "query_id")
+    unit = np.divide(m, np.linalg.norm(m, axis=1, keepdims=True), where=m.any(1, keepdims=True), out=np.zeros_like(m)) if metric == "cosine" else m
+    d = np.round(np.stack([knn._exact(np.repeat(q[None], len(m), 0), unit, metric) for q in unit]), 9) + 0.0
+    np.fill_diagonal(d, np.inf)
+    want = sorted((q, r + 1, int(c)) for q in range(len(m)) for r, c in enumerate(np.lexsort((np.arange(len(m)), d[q]))[:5]))
+    for options in ({}, {"scan_queries": 0, "pivots": 12, "tile_rows": 30}):
+        found = knn.nearest(queries, rows, 5, metric, exclude_self=True, **options).collect()
+        assert sorted((r.query_id, r.rank, r.doc_id) for r in found) == want
+    nothing = rows.filter("doc_id % 9 = 0 AND doc_id < 100")
+    only = knn.nearest(queries, nothing, 3, "cosine", scan_queries=0).filter("query_id = 1").orderBy("rank").collect()
+    assert [(r.doc_id, r.distance) for r in only] == [(0, 0.0), (9, 0.0), (18, 0.0)]
+    assert knn.nearest(queries, rows.filter("false"), 3, metric, scan_queries=0).count() == 0
+
+
 def test_approximate_neighbours_reach_most_of_the_exact_ones(spark):
     rng = np.random.default_rng(6)
     rows = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(rng.normal(size=(500, 4)))], "doc_id long, vector array<double>")
