@@ -100,8 +100,10 @@ def _(spark, sf):
 @R.add("train_all")
 def _(spark, sf):
     train, test = credit_parts(spark, sf)
-    models, _ = L.train_all(train, SETTINGS, balance="none")
-    return M.compare_models(M.evaluate_all(checkpointed(L.predict_all(models, test))))
+    models, errors = L.train_all(train, SETTINGS, balance="none")
+    failed = spark.createDataFrame(list(errors.items()), "model string, error string")
+    compared = M.compare_models(M.evaluate_all(checkpointed(L.predict_all(models, test))))
+    return compared.withColumn("error", F.lit(None).cast("string")).unionByName(failed, allowMissingColumns=True)
 
 
 @R.add("grid_search")
@@ -142,5 +144,5 @@ def _(spark, sf):
 
 @R.add("importance_perm")
 def _(spark, sf):
-    model, test = fitted(spark, sf, "knn", "none")
+    model, test = fitted(spark, sf, "hist_gradient_boosting", "none")
     return L.permutation_importance(model, test, COLUMNS)

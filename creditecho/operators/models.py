@@ -12,7 +12,6 @@ from pyspark.ml.classification import (
 )
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from creditecho.config import FEATURE_KINDS, PARAM_GRIDS, SEED
@@ -21,11 +20,11 @@ from creditecho.operators.knn import knn_classify
 from creditecho.operators.metrics import auc_ks
 from creditecho.operators.preprocess import Preprocessor, fit_preprocessor
 from creditecho.operators.resample import smote
+from creditecho.operators.totals import ranked
 from creditecho.session import checkpointed
 
 SCALED = ("logistic_regression", "knn")
 MAX_TREE_DEPTH = 30
-SAMPLE_ROWS = 1000
 
 
 @dataclass
@@ -92,8 +91,10 @@ def score_rows(model, rows: DataFrame, keep: list[str]) -> DataFrame:
     """(keep..., probability, prediction) for transformed rows."""
     if isinstance(model, KnnModel):
         parts = [F.col(c) for c in keep if c != "label"]
-        unique = parts[0].cast("long") if len(parts) == 1 else F.xxhash64(*parts)
-        asked = rows.withColumn("query_id", unique)
+        if len(parts) == 1:
+            asked = rows.withColumn("query_id", parts[0].cast("long"))
+        else:  # numbers of a stored table: a hash of several columns could join two rows
+            asked = checkpointed(rows.withColumn("query_id", F.monotonically_increasing_id()))
         votes = knn_classify(
             asked.select("query_id", vector_to_array("features").alias("vector")), model.rows, model.k, model.metric
         )
@@ -231,24 +232,26 @@ def native_importance(fitted: FittedModel, spark: SparkSession) -> DataFrame:
 
 
 def permutation_importance(
-    fitted: FittedModel, df: DataFrame, columns: list[str], repeats: int = 10, sample_rows: int = SAMPLE_ROWS
+    fitted: FittedModel, df: DataFrame, columns: list[str], repeats: int = 10, sample_rows: int | None = None
 ) -> DataFrame:
-    """Mean loss of ROC-AUC when one raw column is shuffled, on a bounded sample in hash order.
+    """Mean loss of ROC-AUC when one raw column is shuffled, over all rows or a stated sample in hash order.
 
-    All shuffled copies are scored in one job: a copy takes the column from the row whose place in that
-    copy's own hash order equals the row's place in the sample.
+    Rows get places in one hash order without a single-task sort. In a copy, a row takes the column from the row some places on (around the end);
+    how many follows from feature and repeat. All copies are scored in one job, and the donors come by a shuffled join.
     """
     key = fitted.key
-    sample = df.orderBy(F.xxhash64(key, F.lit(SEED)), key).limit(sample_rows)
-    sample = checkpointed(sample.withColumn("_at", F.row_number().over(W.partitionBy(F.lit(0)).orderBy(F.xxhash64(key), key))))
+    rows = df.orderBy(F.xxhash64(key, F.lit(SEED)), key).limit(sample_rows) if sample_rows else df
+    rows = rows.withColumns({"_score": F.xxhash64(key).cast("double"), "_tie": F.xxhash64(key, F.lit(SEED))})
+    sample = checkpointed(ranked(rows, [], "_score", "_tie", "_at").drop("_score", "_tie"))
+    n = sample.count()
     trials = F.array(*[
         F.struct(F.lit(c).alias("feature"), F.lit(r).alias("repeat")) for c in columns for r in range(repeats)
     ])
     copies = sample.withColumn("_t", F.explode(trials)).select("*", "_t.feature", "_t.repeat").drop("_t")
-    order = W.partitionBy("feature", "repeat").orderBy(F.xxhash64(key, "feature", "repeat"), key)
-    copies = copies.withColumn("_from", F.row_number().over(order))
+    shift = 1 + F.pmod(F.xxhash64("feature", "repeat", F.lit(SEED)), F.lit(max(1, n - 1)))
+    copies = copies.withColumn("_from", 1 + F.pmod(F.col("_at") - 1 + shift, F.lit(max(1, n))))
     donors = sample.select(F.col("_at").alias("_d_at"), *[F.col(c).alias(f"_d_{c}") for c in columns])
-    mixed = copies.join(F.broadcast(donors), F.col("_from") == F.col("_d_at"))
+    mixed = copies.join(donors, F.col("_from") == F.col("_d_at"))
     mixed = mixed.withColumns({
         c: F.when(F.col("feature") == c, F.col(f"_d_{c}")).otherwise(F.col(c)) for c in columns
     }).drop("_from", "_at", "_d_at", *[f"_d_{c}" for c in columns])
