@@ -197,11 +197,14 @@ def block_links(nodes: DataFrame) -> DataFrame:
 
 
 class CountTree:
-    """A packed R-tree of two levels over count vectors: boxes keep coordinate maxima and the least set size."""
+    """A packed R-tree of two levels over count vectors: boxes keep coordinate maxima and the least set size.
+
+    The number of groups follows the mean set size, so that the points never hold more counts than the sets hold shingles, or 16 a set.
+    """
 
     def __init__(self, sets: list[np.ndarray], leaf: int = LEAF):
         n = np.array([len(s) for s in sets], np.int64)
-        groups = 1 << int(np.clip(np.ceil(np.log2(max(1, n.max()) / 4)), 4, 12))
+        groups = 1 << int(np.clip(np.floor(np.log2(max(1, n.mean()))), 4, 12))
         points = np.zeros((len(sets), groups), np.int32)
         for i, s in enumerate(sets):
             points[i] = np.bincount((s & _U(groups - 1)).astype(np.int64), minlength=groups)
@@ -222,8 +225,8 @@ class CountTree:
         bound = np.minimum(others, point).sum(axis=1)
         return (100 + percent) * bound >= percent * (n + sizes)
 
-    def candidates(self, i: int, percent: int) -> np.ndarray:
-        """Places (in tree order) behind ``i`` that the bounds let through; sizes rise along the order."""
+    def candidates(self, i: int, percent: int, root: np.ndarray) -> np.ndarray:
+        """Places (in tree order) behind ``i`` in another class that the bounds let through; sizes rise along the order."""
         point, n = self.points[i], self.n[i]
         nodes = np.flatnonzero(self.reach(point, n, *self.nodes, percent))
         leaf = (nodes[:, None] * self.leaf + np.arange(self.leaf)).ravel()
@@ -232,6 +235,7 @@ class CountTree:
         leaf = leaf[self.reach(point, n, self.leaves[0][leaf], self.leaves[1][leaf], percent)]
         at = (leaf[:, None] * self.leaf + np.arange(self.leaf)).ravel()
         at = at[(at < len(self.n)) & (at > i)]
+        at = at[root[at] != root[i]]
         return at[self.reach(point, n, self.points[at], self.n[at], percent)]
 
 
@@ -239,17 +243,17 @@ def classes_of(sets: list[np.ndarray], percent: int) -> Classes:
     """Classes of linked sets (sorted distinct hashes)."""
     out, tree, root = Classes(len(sets)), CountTree(sets), np.arange(len(sets))
     for i, name in enumerate(tree.order.tolist()):
-        a, near = sets[name], tree.order[tree.candidates(i, percent)]
-        near = near[root[near] != root[name]]
+        a, near = sets[name], tree.candidates(i, percent, root)
         while len(near):
-            other, near = int(near[0]), near[1:]
+            place, near = int(near[0]), near[1:]
+            other = int(tree.order[place])
             b = sets[other]
             common = int((a[np.minimum(np.searchsorted(a, b), len(a) - 1)] == b).sum())
             if 100 * common >= percent * (len(a) + len(b) - common):
-                low, high = sorted((int(root[name]), int(root[other])))
+                low, high = sorted((int(root[i]), int(root[place])))
                 root[root == high] = low
-                out.join(low, high)
-                near = near[root[near] != root[name]]
+                out.join(name, other)
+                near = near[root[near] != root[i]]
     return out
 
 
