@@ -246,12 +246,11 @@ def _(spark, sf):
     return rounded(C.quality_report(loans(spark, sf)))
 
 
-@R.add("dup_rows", """WITH l AS (SELECT l_orderkey, l_linenumber, l_returnflag FROM lineitem)
-SELECT (SELECT count(*) FROM l) - (SELECT count(*) FROM (SELECT DISTINCT * FROM l)) AS duplicate_rows""")
+@R.add("dup_rows", """SELECT (SELECT count(*) FROM lineitem) - (SELECT count(*) FROM (SELECT DISTINCT * FROM lineitem)) AS duplicate_rows""")
 def _(spark, sf):
     from creditecho.sources.tables import table
 
-    return C.duplicate_rows(table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag"))
+    return C.duplicate_rows(table(spark, sf, "lineitem"))
 
 
 @R.add("quantile_stats", f"WITH {LOANS} " + " UNION ALL ".join(

@@ -163,7 +163,7 @@ def _(spark, sf):
 
 @R.add("knn_approx")
 def _(spark, sf):
-    return knn.nearest(*vector_sides(spark, sf), 10, pivots=32, probes=8).select("query_id", "doc_id", "rank", "distance")
+    return knn.nearest(*vector_sides(spark, sf), 10, pivots=32, probes=26).select("query_id", "doc_id", "rank", "distance")
 
 
 @R.add("embed_docs")

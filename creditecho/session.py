@@ -30,17 +30,25 @@ def pin_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """``spark.checkpoint.dir`` of the session. Only a local master without that setting gets a folder of its own."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="creditecho-")
+        spark.conf.set("spark.checkpoint.dir", folder)
+    return folder.rstrip("/")
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut lineage through the shared folder named in ``spark.checkpoint.dir``.
+    """Cut lineage through the shared folder.
 
-    Only where the session names none (tests, one machine) a private folder is set. A result that arrived
-    in fewer partitions than cores is spread over them, since it is stored to be read several times.
+    A result that arrived in fewer partitions than cores is spread over them, since it is stored to be read several times.
     """
-    spark = df.sparkSession
-    context = spark.sparkContext
+    context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="creditecho-ckpt-"))
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     out = df.checkpoint()
     cores = context.defaultParallelism
     if out.rdd.getNumPartitions() < cores and out.count() > SPREAD_ROWS:

@@ -1,7 +1,6 @@
 """Writers and the folder used for intermediate tables."""
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,12 +8,12 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from creditecho.functions.text import slug
+from creditecho.session import shared_folder
 
 
 def work_folder(spark: SparkSession, name: str) -> str:
-    """A fresh folder below the shared checkpoint folder; a private one where the session names none."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="creditecho-")
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A fresh folder below the shared folder."""
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def write_clean(df: DataFrame, folder: str) -> None:

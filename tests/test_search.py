@@ -126,6 +126,14 @@ def test_approximate_neighbours_reach_most_of_the_exact_ones(spark):
     assert exact.join(close, ["query_id", "doc_id"]).count() / exact.count() > 0.9
 
 
+def test_registered_approximate_search_reaches_nine_tenths(spark):
+    from creditecho.catalog import all_runs
+
+    runs, sf = all_runs(), "/root/testdata/sf0.01"
+    exact, close = ({(r.query_id, r.doc_id) for r in runs[name](spark, sf).collect()} for name in ("knn_exact", "knn_approx"))
+    assert len(exact & close) >= 0.9 * len(exact) > 0
+
+
 def test_lexicon_model_and_stored_sentiment(spark, reviews):
     lexicon = spark.createDataFrame([("apple", 1.0), ("sky", -3.0)], "token string, weight double")
     got = {r.id: (r.sentiment_label, r.sentiment_score) for r in S.lexicon_sentiment(reviews, lexicon).collect()}
