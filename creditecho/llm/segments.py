@@ -9,10 +9,14 @@ two segments with the same key. Three passes over stored chunks:
 3. the decisions come back per chunk, as ranges of window starts.
 
 A key that many documents share arrives once per chunk and different content; rows of content already seen are answered at once and not kept.
+An anchor of count class ``HOT`` or more can have very many different surroundings, so its segments do not meet in one task: each of its windows
+travels by itself, as a 128-bit digest that is also its route. Equal windows still meet, and no text of a hot anchor is kept anywhere.
 """
 from __future__ import annotations
 
+from array import array
 from collections.abc import Callable, Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -24,6 +28,7 @@ from creditecho.llm.shared_keys import QUESTIONS, answers, bucket_count, levels,
 
 _U = np.uint64
 FAR = _U(0xFFFFFFFF)
+HOT = 13  # count class: 8,192 anchors at least, some shards' worth of segments
 
 
 def sliding_min(a: np.ndarray, width: int) -> np.ndarray:
@@ -70,13 +75,18 @@ class Segments:
         keys, back = np.unique(self.key, return_inverse=True)
         return keys, np.bincount(back, weights=self.weight).astype(np.int64)
 
-    def live(self, level: np.ndarray) -> np.ndarray:
-        """Segments whose anchor occurs more than once in the corpus."""
+    def live(self, level: np.ndarray, hot: int) -> tuple[np.ndarray, np.ndarray]:
+        """Segments whose anchor occurs more than once in the corpus, and which of them have a hot one."""
         keys = np.unique(self.key)
-        return np.flatnonzero(level[np.searchsorted(keys, self.key)] > 0) if len(keys) else np.zeros(0, np.int64)
+        if not len(keys):
+            return np.zeros(0, np.int64), np.zeros(0, bool)
+        own = level[np.searchsorted(keys, self.key)]
+        live = np.flatnonzero(own > 0)
+        return live, own[live] >= hot
 
 
-ROWS = "key long, content binary, doc_id long, start long, weight long, chunk_id long, places binary"
+#: ``single``: the row stands for one window, and content is its digest.
+ROWS = "key long, single boolean, content binary, doc_id long, start long, weight long, chunk_id long, places binary"
 REPLIES = "chunk_id long, ranges binary"
 
 
@@ -94,7 +104,8 @@ class View:
 
 
 def repeated_ranges(
-    chunks: DataFrame, view: Callable[[Chunk], View], solve: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+    chunks: DataFrame, view: Callable[[Chunk], View], solve: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
+    hot: int = HOT,
 ) -> DataFrame:
     """(chunk_id, n_bytes, ids, lengths, body, found): chunks with the ranges that ``solve`` found in them."""
     buckets = bucket_count(chunks)
@@ -112,36 +123,44 @@ def repeated_ranges(
                 level = levels(batch.column("replies")[row].as_py())
                 if level.any():
                     chunk = unpack(batch, row)
-                    yield _rows(chunk, view(chunk), level)
+                    yield _rows(chunk, view(chunk), level, hot)
 
     counted = answers(chunks.mapInArrow(ask, QUESTIONS), 8)
     sent = chunks.join(counted, "chunk_id").mapInArrow(send, ROWS)
     parts = max(int(chunks.sparkSession.conf.get("spark.sql.shuffle.partitions")), buckets // 4)
-    dealt = sent.repartition(parts, "key").sortWithinPartitions("key", "content", "doc_id", "start", "chunk_id")
+    dealt = sent.repartition(parts, "key").sortWithinPartitions("key", "single", "content", "doc_id", "start", "chunk_id")
     ranges = dealt.mapInArrow(solve, REPLIES).groupBy("chunk_id").agg(F.collect_list("ranges").alias("found"))
     return chunks.join(ranges, "chunk_id", "left")
 
 
-def _rows(chunk: Chunk, v: View, level: np.ndarray) -> pa.RecordBatch:
-    """Live segments of a chunk; equal ones become one row whose first place is the least by (doc_id, start)."""
+def _rows(chunk: Chunk, v: View, level: np.ndarray, hot: int) -> pa.RecordBatch:
+    """Live segments of a chunk, or windows of hot ones; equal ones become one row whose first place is the least by (doc_id, start)."""
     seg, rows = v.segments, {}
-    live = seg.live(level)
-    first, last = seg.first[live], seg.last[live]
+    live, alone = seg.live(level, hot)
+    n = np.where(alone, seg.last[live] - seg.first[live] + 1, 1)
+    of = np.repeat(np.arange(len(live)), n)
+    first = seg.first[live][of] + np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n)
+    single = alone[of]
+    last = np.where(single, first, seg.last[live][of])
     doc = v.doc[first]
     ids, start = chunk.ids[doc], first - v.first_item[doc]
     for i in np.lexsort((start, ids)).tolist():
-        content = v.content(int(first[i]), int(last[i]))
-        row = rows.setdefault((int(seg.key[live[i]]), content), [int(ids[i]), int(start[i]), 0, []])
-        row[2] += int(seg.weight[live[i]])
+        content, key, one = v.content(int(first[i]), int(last[i])), int(seg.key[live[of[i]]]), bool(single[i])
+        if one:
+            content = blake2b(content, digest_size=16).digest()
+            key = int.from_bytes(content[:8], "little")
+        row = rows.setdefault((key, one, content), [int(ids[i]), int(start[i]), 0, array("q")])
+        row[2] += int(seg.weight[live[of[i]]])
         # a place of the same doc_id and start is the same place for the order, so it is answered like the first
-        row[3].append((int(first[i]), int(ids[i]) == row[0] and int(start[i]) == row[1]))
+        row[3].extend((int(first[i]), int(ids[i]) == row[0] and int(start[i]) == row[1]))
     items = list(rows.items())
     return pa.RecordBatch.from_arrays([
-        pa.array(np.array([k for (k, _), _ in items], np.uint64).view(np.int64)), pa.array([c for (_, c), _ in items], pa.binary()),
+        pa.array(np.array([k for (k, _, _), _ in items], np.uint64).view(np.int64)), pa.array([one for (_, one, _), _ in items], pa.bool_()),
+        pa.array([c for (_, _, c), _ in items], pa.binary()),
         pa.array([r[0] for _, r in items], pa.int64()), pa.array([r[1] for _, r in items], pa.int64()),
         pa.array([r[2] for _, r in items], pa.int64()), pa.array([chunk.chunk_id] * len(items), pa.int64()),
-        pa.array([np.array(r[3], np.int64).tobytes() for _, r in items], pa.binary()),
-    ], names=["key", "content", "doc_id", "start", "weight", "chunk_id", "places"])
+        pa.array([r[3].tobytes() for _, r in items], pa.binary()),
+    ], names=["key", "single", "content", "doc_id", "start", "weight", "chunk_id", "places"])
 
 
 def marks(found: list[bytes] | None) -> np.ndarray:

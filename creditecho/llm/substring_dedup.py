@@ -8,7 +8,7 @@ a suffix automaton over word numbers, each state knowing its earliest place. The
 statistics: where the match is as long as a window, the state of that length tells the window's earliest place, and windows with an
 earlier place than their own form the maximal spans. An automaton of the whole corpus cannot be broadcast at any bound, so documents'
 segments are routed to the shard's task instead of shards to all documents. Segments equal to one already in the shard are repeats
-as a whole.
+as a whole. Windows of an anchor that very many segments share come one by one and need no automaton: all but the earliest place of a window go.
 
 Defined cases: a null text has no words; a text shorter than a window loses nothing; a null doc_id is ordered last; rows that repeat a doc_id
 count as one place where they start alike, so neither removes the other there; very long texts have a chunk of their own; an empty
@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from creditecho.llm.chunks import Chunk, pack, unpack
-from creditecho.llm.segments import Segments, View, cover, marks, repeated_ranges, reply_batch
+from creditecho.llm.segments import HOT, Segments, View, cover, marks, repeated_ranges, reply_batch
 from creditecho.llm.textbatch import Texts, grams
 
 WINDOW = 20
@@ -169,21 +169,23 @@ def shard_solver(window: int):
             held = 0
 
         for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in ("key", "content", "doc_id", "start", "chunk_id", "places")]
-            for k, c, d, s, chunk_id, places in zip(*columns):
-                size = c.count(b" ") + 1
+            columns = [batch.column(c).to_pylist() for c in ("key", "single", "content", "doc_id", "start", "chunk_id", "places")]
+            for k, single, c, d, s, chunk_id, places in zip(*columns):
+                size = window if single else c.count(b" ") + 1
                 wide = size - window
-                if k != key or c != content:
-                    if k != key and held > SHARD_WORDS:
+                if (k, single) != key or c != content:
+                    if (k, single) != key and held > SHARD_WORDS:
                         flush()
-                    key, content, first = k, c, (d, s)
-                    shard.append((c, d, s, []))
-                    held += size
+                    key, content, first = (k, single), c, (d, s)
+                    if not single:
+                        shard.append((c, d, s, []))
+                        held += size
                 same = (d, s) == first
                 answer = []
                 for place, like_first in np.frombuffer(places, np.int64).reshape(-1, 2).tolist():
                     if same and like_first:
-                        shard[-1][3].append((chunk_id, place))
+                        if not single:  # the earliest place of a single window stays
+                            shard[-1][3].append((chunk_id, place))
                     else:
                         answer.append((place, place + wide))
                 if answer:
@@ -199,10 +201,10 @@ def shard_solver(window: int):
     return solve
 
 
-def repeats_removed(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:
+def repeats_removed(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, hot: int = HOT) -> DataFrame:
     """doc_id, n_words, n_removed, spans (maximal removed word runs) and kept (the other words, joined by one space) per document."""
     chunks = pack(docs, "substring-chunks")
-    solved = repeated_ranges(chunks, lambda c: word_view(c, window, anchor), shard_solver(window))
+    solved = repeated_ranges(chunks, lambda c: word_view(c, window, anchor), shard_solver(window), hot)
     kind = pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())]))
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -8,7 +8,7 @@ the common prefixes of value l, in increasing order. The expansion stops at ``wi
 least that much, so their windows are repeated. Strings that hold the separator are not extended and cannot be windows.
 
 Segments that occur twice as they are need no order: all their windows are repeated. They stay in the shard as reference for others. A key with one
-segment only is settled by its number of places.
+segment only is settled by its number of places. So are windows of an anchor that very many segments share, which come one by one.
 
 Defined cases: a null text is empty; a text shorter than a window loses nothing; rows that repeat a doc_id or a whole text are places of
 their own, so equal rows remove each other's bytes; very long texts have a chunk of their own; an empty table gives an empty result;
@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from creditecho.llm.chunks import Chunk, pack, unpack
-from creditecho.llm.segments import Segments, View, cover, marks, repeated_ranges, reply_batch
+from creditecho.llm.segments import HOT, Segments, View, cover, marks, repeated_ranges, reply_batch
 from creditecho.llm.textbatch import window_hash
 
 WINDOW = 400
@@ -154,7 +154,7 @@ def shard_solver(window: int):
             out.append((chunk_id, np.column_stack([rows, rows + wide]).tobytes()))
 
         def end_content() -> None:
-            if content is not None:
+            if content is not None and not key[1]:
                 group.append((content, waiting[0] if seen == 1 else None, weight))
 
         def end_key() -> None:
@@ -174,17 +174,17 @@ def shard_solver(window: int):
             held = 0
 
         for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in ("key", "content", "weight", "chunk_id", "places")]
-            for k, c, w, chunk_id, places in zip(*columns):
+            columns = [batch.column(c).to_pylist() for c in ("key", "single", "content", "weight", "chunk_id", "places")]
+            for k, single, c, w, chunk_id, places in zip(*columns):
                 at = [p for p, _ in np.frombuffer(places, np.int64).reshape(-1, 2).tolist()]
-                wide = len(c) - window
-                if k != key or c != content:
+                wide = 0 if single else len(c) - window
+                if (k, single) != key or c != content:
                     end_content()
-                    if k != key:
+                    if (k, single) != key:
                         end_key()
                         if held > SHARD_BYTES:
                             flush()
-                    key, content, weight, seen = k, c, 0, 0
+                    key, content, weight, seen = (k, single), c, 0, 0
                     waiting = []
                 weight += w
                 if seen + len(at) > 1:
@@ -208,10 +208,10 @@ def shard_solver(window: int):
     return solve
 
 
-def repeats_removed(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:
+def repeats_removed(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, hot: int = HOT) -> DataFrame:
     """doc_id, n_bytes, n_removed, spans (maximal removed byte runs, first and last) and kept bytes per document."""
     chunks = pack(docs, "suffix-chunks")
-    solved = repeated_ranges(chunks, lambda c: byte_view(c, window, anchor), shard_solver(window))
+    solved = repeated_ranges(chunks, lambda c: byte_view(c, window, anchor), shard_solver(window), hot)
     kind = pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())]))
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
