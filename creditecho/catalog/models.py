@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from creditecho.catalog.loans import cleaned_loans
 from creditecho.catalog.registry import Registry, rounded
-from creditecho.config import NOTEBOOK_SELECTED
+from creditecho.config import NOTEBOOK_SELECTED, PARAM_GRIDS
 from creditecho.operators import features as X
 from creditecho.operators import knn
 from creditecho.operators import metrics as M
@@ -108,12 +108,12 @@ def _(spark, sf):
 
 @R.add("grid_search")
 def _(spark, sf):
-    train, _ = credit_parts(spark, sf)
-    rows, best = L.grid_search(
-        "logistic_regression", checkpointed(S.stratified_folds(train)), {"C": [0.1, 10.0], "penalty": ["l2"]}, balance="weights"
-    )
-    flat = [(r["model"], str(r["params"]), r["mean_auc"], r["folds"], r is best) for r in rows]
-    return spark.createDataFrame(flat, "model string, params string, mean_auc double, folds int, is_best boolean")
+    name, balance = "logistic_regression", "weights"
+    train, test = credit_parts(spark, sf)
+    rows, best = L.grid_search(name, checkpointed(S.stratified_folds(train)), PARAM_GRIDS[name], balance=balance)
+    refit = M.auc_ks(L.train_model(name, train, best["params"], balance=balance).predict(test)).first()["roc_auc"]
+    flat = [(r["model"], str(r["params"]), r["mean_auc"], r["folds"], r is best, refit if r is best else None) for r in rows]
+    return spark.createDataFrame(flat, "model string, params string, mean_auc double, folds int, is_best boolean, refit_test_auc double")
 
 
 @R.add("sink_model")
