@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from creditecho.llm import (
-    byte_bpe, jaccard_join, mixing, neighbours, quality_classifier, quality_rules, secret_scan, substring_dedup, suffix_array_dedup, url_filter,
+    byte_bpe, jaccard_join, mixing, neighbours, quality_classifier, quality_rules, secret_scan, substring_dedup, suffix_array_dedup, url_filter, warc,
 )
+from creditecho.llm.store import new_folder
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 URL_RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
@@ -75,6 +76,12 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = new_folder(spark, "warc")
+    warc.write(_table(spark, sf_dir, "pages"), folder)
+    return warc.read(spark, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -83,7 +90,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 RUNS = {f.__name__: f for f in (
     op1_source_mix, op2_quality_rules, op3_substring_dedup, op4_url_filter, op5_byte_bpe, op6_quality_classifier, op7_suffix_array_dedup,
-    op8_jaccard_join, op9_neighbours, op10_secret_scan, pipeline,
+    op8_jaccard_join, op9_neighbours, op10_secret_scan, op12_warc, pipeline,
 )}
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
@@ -127,4 +134,12 @@ fits AS (
 SELECT urls.page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM urls LEFT JOIN fits USING (page_id)
 """
 
-SQL = {"op1_source_mix": OP1, "op4_url_filter": OP4}
+OP12 = """
+WITH bytes AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
+shared AS (SELECT b, max(page_id) AS keeper FROM bytes WHERE octet_length(b) >= 1000 GROUP BY b HAVING count(*) > 1)
+SELECT page_id, octet_length(bytes.b)::BIGINT AS payload_bytes, sha1(bytes.b) AS payload_digest,
+  CASE WHEN keeper <> page_id THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN keeper <> page_id THEN keeper END AS refers_to
+FROM bytes LEFT JOIN shared USING (b)
+"""
+
+SQL = {"op12_warc": OP12, "op1_source_mix": OP1, "op4_url_filter": OP4}

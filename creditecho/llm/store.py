@@ -18,9 +18,13 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def new_folder(spark: SparkSession, name: str) -> str:
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, name: str, **options: str) -> DataFrame:
     """Writes a frame as Parquet into the shared folder and reads it back: lineage ends here, columns can be pruned."""
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    path = new_folder(spark, name)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
