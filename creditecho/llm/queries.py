@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from creditecho.llm import (
-    byte_bpe, jaccard_join, mixing, neighbours, quality_classifier, quality_rules, secret_scan, substring_dedup, suffix_array_dedup, url_filter, warc,
+    byte_bpe, jaccard_join, mixing, neighbours, quality_classifier, quality_rules, secret_scan, spelling, substring_dedup, suffix_array_dedup, url_filter, warc,
 )
 from creditecho.llm.store import new_folder
 
@@ -76,6 +76,10 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(_table(spark, sf_dir, "documents")).select("word", "form", "root", "n", "n_near", "form_n")
+
+
 def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_folder(spark, "warc")
     warc.write(_table(spark, sf_dir, "pages"), folder)
@@ -90,7 +94,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 RUNS = {f.__name__: f for f in (
     op1_source_mix, op2_quality_rules, op3_substring_dedup, op4_url_filter, op5_byte_bpe, op6_quality_classifier, op7_suffix_array_dedup,
-    op8_jaccard_join, op9_neighbours, op10_secret_scan, op12_warc, pipeline,
+    op8_jaccard_join, op9_neighbours, op10_secret_scan, op11_spelling_variants, op12_warc, pipeline,
 )}
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
@@ -134,6 +138,35 @@ fits AS (
 SELECT urls.page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM urls LEFT JOIN fits USING (page_id)
 """
 
+OP11 = r"""
+WITH RECURSIVE crc_table AS (
+  SELECT list(c ORDER BY b) AS t FROM (
+    SELECT b, list_reduce(range(8), lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END, b) AS c FROM range(256) r(b))),
+runs AS (
+  SELECT coalesce(doc_id::VARCHAR, '') || ':' || run AS label, run FROM (
+    SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{C0}-\x{FF}]+')) AS run
+    FROM documents) WHERE length(run) >= 7),
+hexed AS (SELECT label, run, hex(encode(label)) AS x, count(*) AS c FROM runs GROUP BY ALL),
+hashed AS (
+  SELECT run, c, xor(list_reduce(list_transform(range(length(x) // 2), lambda i: ('0x' || substr(x, 2 * i + 1, 2))::BIGINT),
+    lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1]), 4294967295), 4294967295) AS h FROM hexed, crc_table),
+cut AS (SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, c FROM hashed),
+words AS MATERIALIZED (SELECT word, sum(c)::BIGINT AS n FROM cut WHERE length(word) >= 7 GROUP BY word HAVING sum(c) >= 2),
+lacking AS MATERIALIZED (
+  SELECT word, n, i, substr(word, 1, i) || substr(word, i + 2) AS rest FROM (SELECT word, n, unnest(range(length(word))) AS i FROM words)),
+near AS (
+  SELECT a.word, b.word AS other, b.n AS m FROM lacking a JOIN lacking b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM lacking a JOIN words b ON a.rest = b.word
+  UNION SELECT b.word, a.word, a.n FROM lacking a JOIN words b ON a.rest = b.word),
+best AS (SELECT word, count(*) AS n_near, arg_min(other, (-m, other)) AS other, max(m) AS m FROM near GROUP BY word),
+told AS (
+  SELECT word, n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN m >= 10 * n THEN other END AS form, CASE WHEN m >= 10 * n THEN m END AS form_n
+  FROM words LEFT JOIN best USING (word)),
+walk(word, here) AS (SELECT word, word FROM told UNION ALL SELECT walk.word, told.form FROM walk JOIN told ON walk.here = told.word WHERE told.form IS NOT NULL),
+ends AS (SELECT walk.word, walk.here AS root FROM walk JOIN told ON walk.here = told.word WHERE told.form IS NULL)
+SELECT word, form, root, n, n_near, form_n FROM told JOIN ends USING (word)
+"""
+
 OP12 = """
 WITH bytes AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
 shared AS (SELECT b, max(page_id) AS keeper FROM bytes WHERE octet_length(b) >= 1000 GROUP BY b HAVING count(*) > 1)
@@ -142,4 +175,4 @@ SELECT page_id, octet_length(bytes.b)::BIGINT AS payload_bytes, sha1(bytes.b) AS
 FROM bytes LEFT JOIN shared USING (b)
 """
 
-SQL = {"op12_warc": OP12, "op1_source_mix": OP1, "op4_url_filter": OP4}
+SQL = {"op11_spelling_variants": OP11, "op12_warc": OP12, "op1_source_mix": OP1, "op4_url_filter": OP4}
