@@ -6,10 +6,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from creditecho.llm import (
-    byte_bpe, jaccard_join, mixing, neighbours, quality_classifier, quality_rules, secret_scan, spelling, substring_dedup, suffix_array_dedup, url_filter, warc,
+    byte_bpe, jaccard_join, mixing, neighbours, quality_classifier, quality_rules, secret_scan, spelling, substring_dedup, suffix_array_dedup, token_alignment, url_filter, warc,
 )
 from creditecho.llm.store import new_folder
 
+ALIGNED = ("byte_bpe_50k.json", "piece_bpe_32k.model")
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 URL_RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
 ONE_IN = 100
@@ -86,6 +87,12 @@ def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read(spark, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = token_alignment.align(_table(spark, sf_dir, "documents"), *(public_tokenizers.path(name) for name in ALIGNED))
+    digest = F.when(F.col("groups") == "", F.lit("")).otherwise(F.sha2(F.col("groups").cast("binary"), 256)).alias("groups_sha256")
+    return out.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", digest)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -94,7 +101,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 RUNS = {f.__name__: f for f in (
     op1_source_mix, op2_quality_rules, op3_substring_dedup, op4_url_filter, op5_byte_bpe, op6_quality_classifier, op7_suffix_array_dedup,
-    op8_jaccard_join, op9_neighbours, op10_secret_scan, op11_spelling_variants, op12_warc, pipeline,
+    op8_jaccard_join, op9_neighbours, op10_secret_scan, op11_spelling_variants, op12_warc,
+    op13_token_alignment, pipeline,
 )}
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
