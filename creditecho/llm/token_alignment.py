@@ -4,7 +4,8 @@ A tokenized byte range is a fragment: an open prefix (tokens before the first pl
 places, and an open suffix. Fragments of neighbouring ranges compose: suffix and prefix meet in one group, the rest is joined. Composition is
 associative, so a document may be cut at any bytes and its fragments be put together in any order of neighbours. It is used three ways:
 
-* every word (a byte range between safe places) has one fragment per task, made once and composed for each document that holds the word;
+* every different word of a pack (a byte range between safe places) has one fragment; it begins and ends at a common end, so the numbers and
+  the text of a document are sums and joins over its words;
 * a document of more than ``chunk_bytes`` is dealt over tasks as byte ranges. A range holds the tokens that end in it; to know them it
   brings the words it cuts. Its fragment is open at both sides;
 * the fragments of such a document are composed by a tree: each level composes ``FAN`` neighbours in one task.
@@ -12,7 +13,7 @@ associative, so a document may be cut at any bytes and its fragments be put toge
 Safe place: before a space that follows a character that is no white space. The byte-level tokenizer splits its text there, and no piece of the other
 one holds a space behind something else (checked when it is loaded), so both end a token there and neither sees across.
 
-Counts: a pack of documents (about a megabyte) counts its id pairs, each once per document, before they travel; sums and the best
+Every text is tokenized once, into packs that hold word numbers and the tokens of the different words. A pack (about two megabytes) counts its id pairs, each once per document, before they travel; sums and the best
 count per first id follow by aggregation. The best counts are as many as the first tokenizer has ids, so they are broadcast. Replies go back per pack.
 
 Defined cases: a text that is null, empty, or that one of the tokenizers does not give back byte by byte has no tokens and counts in no pair;
@@ -21,21 +22,26 @@ an empty result; other columns are ignored. A word without a safe place inside i
 """
 from __future__ import annotations
 
+import json
 import os
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from creditecho.llm import chunks
+from creditecho.llm.chunks import NULL_ID
 from creditecho.llm.store import stored
+from creditecho.llm.textbatch import groups
 
 FAN = 8
-MEMO_ENTRIES = 200_000
-MEMO_BYTES = 1 << 16  # longer words are not kept
+PACK_BYTES = 2 << 20
+MEMO_ENTRIES = 300_000
+QUICK_BYTES = 512
 SPACE_MARK = "▁"  # Fixed value: the mark that stands for a space in pieces
 Token = tuple[int, int]  # id, length in bytes that lie in the range or before it; see Fragment
 
@@ -58,7 +64,8 @@ class Tokenizers:
         self.a = Tokenizer.from_str(first.decode())
         self.a.encode_special_tokens = True
         letters = byte_letters()
-        self.a_bytes = {i: bytes(letters[c] for c in t) for t, i in self.a.get_vocab(with_added_tokens=False).items() if all(c in letters for c in t)}
+        vocabulary = self.a.get_vocab(with_added_tokens=False)
+        self.a_bytes = {i: bytes(letters[c] for c in t) for t, i in vocabulary.items() if all(c in letters for c in t)}
         self.b = sentencepiece.SentencePieceProcessor(model_proto=second)
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         if any(SPACE_MARK in p.lstrip(SPACE_MARK) for p in pieces):
@@ -67,18 +74,45 @@ class Tokenizers:
             bytes([int(p[3:-1], 16)]) if self.b.is_byte(i) else b"" if self.b.is_control(i) or self.b.is_unknown(i) else p.replace(SPACE_MARK, " ").encode()
             for i, p in enumerate(pieces)
         ]
-
-    def words(self, words: list[bytes]) -> list[tuple[list[Token], list[Token]] | None]:
-        """Tokens (id, length) of both sides for words that begin with a space; None where the bytes do not come back."""
+        self.a_length = np.zeros(max(self.a_bytes) + 1, np.int64)
+        self.a_length[list(self.a_bytes)] = [len(x) for x in self.a_bytes.values()]
+        self.b_length = np.array([len(x) for x in self.b_bytes], np.int64)
+        self.quick = self._quick(json.loads(first), vocabulary)
+
+    def _quick(self, described: dict, vocabulary: dict[str, int]):
+        """The faster library with the same vocabulary, if it splits and merges alike: merges in the order of their ids."""
+        import public_tokenizers
+        import tiktoken
+
+        merged = [vocabulary["".join(m) if isinstance(m, list) else m.replace(" ", "")] for m in described["model"]["merges"]]
+        split = described["pre_tokenizer"]
+        if merged != sorted(merged) or split.get("type") != "ByteLevel" or not split.get("use_regex") or split.get("add_prefix_space") or described["normalizer"]:
+            return None
+        ranks = {b: i for i, b in self.a_bytes.items()}
+        return tiktoken.Encoding("first", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+    def words(self, words: list[bytes]) -> list[tuple[bytes, bytes] | None]:
+        """Ids of both sides (32-bit numbers) for words that begin with a space; None where the bytes do not come back."""
         texts = [w.decode() for w in words]
+        ids_a: list[list[int]] = [[]] * len(words)
+        slow = [i for i, w in enumerate(words) if self.quick is None or len(w) > QUICK_BYTES]
+        for i, e in zip(slow, self.a.encode_batch_fast([texts[i] for i in slow], add_special_tokens=False)):
+            ids_a[i] = e.ids
+        if self.quick is not None:
+            for i, (w, t) in enumerate(zip(words, texts)):
+                if len(w) <= QUICK_BYTES:
+                    ids_a[i] = self.quick.encode_ordinary(t)
         out = []
-        for w, ea, ids_b in zip(words, self.a.encode_batch(texts, add_special_tokens=False), self.b.encode([t[1:] for t in texts], num_threads=1)):
-            ids_a = ea.ids
-            parts_a, parts_b = [self.a_bytes.get(i, b"") for i in ids_a], [self.b_bytes[i] for i in ids_b]
-            fits = b"".join(parts_a) == w and b"".join(parts_b) == w
-            out.append((list(zip(ids_a, map(len, parts_a))), list(zip(ids_b, map(len, parts_b)))) if fits else None)
+        bytes_a, bytes_b = self.a_bytes, self.b_bytes
+        for w, a, b in zip(words, ids_a, self.b.encode([t[1:] for t in texts], num_threads=1)):
+            fits = b"".join([bytes_a.get(i, b"") for i in a]) == w and b"".join([bytes_b[i] for i in b]) == w
+            out.append((array("i", a).tobytes(), array("i", b).tobytes()) if fits else None)
         return out
 
+    def tokens(self, word: tuple[bytes, bytes]) -> tuple[list[Token], list[Token]]:
+        a, b = (np.frombuffer(x, np.int32) for x in word)
+        return list(zip(a.tolist(), self.a_length[a].tolist())), list(zip(b.tolist(), self.b_length[b].tolist()))
+
 
 @dataclass
 class Fragment:
@@ -189,14 +223,13 @@ def safe_places(buf: np.ndarray) -> np.ndarray:
 
 
 class Aligner:
-    """Fragments of texts, with those of words kept."""
+    """Tokens of words, kept over the texts of a task, and fragments made of them."""
 
     def __init__(self, first: bytes, second: bytes):
         self.tokenizers = Tokenizers(first, second)
-        self.memo: dict[bytes, tuple | None] = {}
-        self.kept: dict[bytes, tuple | None] = {}
+        self.memo: dict[bytes, tuple[bytes, bytes] | None] = {}
 
-    def learn(self, words: set[bytes]) -> None:
+    def learn(self, words: list[bytes]) -> None:
         """Tokenizes the words that are not known yet, together."""
         new = [w for w in words if w not in self.memo]
         for w, tokens in zip(new, self.tokenizers.words(new)):
@@ -205,48 +238,114 @@ class Aligner:
     def forget(self) -> None:
         if len(self.memo) > MEMO_ENTRIES:
             self.memo.clear()
-            self.kept.clear()
-        for w in [w for w in self.memo if len(w) > MEMO_BYTES]:
-            del self.memo[w]
-            self.kept.pop(w, None)
-
-    def whole(self, word: bytes) -> tuple | None:
-        """``finished`` of a whole word, as (n_a, n_b, n_groups, text, links)."""
-        if word not in self.kept:
-            tokens = self.memo[word]
-            self.kept[word] = None if tokens is None else finished(fragment(*tokens, 0, len(word)))
-        return self.kept[word]
-
-    def documents(self, texts: list[bytes]) -> list[tuple[int, int, int, str, list[tuple[int, int]]] | None]:
-        """``finished`` of whole texts. A word's fragment begins and ends at safe places, so composing words joins their groups."""
-        split = [words_of(b" " + t) if t else [] for t in texts]
-        self.learn({w for words in split for w in words})
-        out = []
-        for words in split:
-            parts = [self.whole(w) for w in words]
-            if not parts or any(p is None for p in parts):
-                out.append(None)
-                continue
-            n_a, n_b, n_groups, text, links = zip(*parts)
-            out.append((sum(n_a), sum(n_b), sum(n_groups), ";".join(text), [x for part in links for x in part]))
+
+    def pack(self, texts: list[bytes]) -> dict[str, np.ndarray]:
+        """Texts as numbers of their different words, and the tokens of these words. A text that does not come back counts no words."""
+        number: dict[bytes, int] = {}
+        split = [[number.setdefault(w, len(number)) for w in words_of(b" " + t)] if t else [] for t in texts]
+        words = list(number)
+        self.learn(words)
+        known = [self.memo[w] for w in words]
+        bad = {i for i, k in enumerate(known) if k is None}
+        split = [[] if bad and not bad.isdisjoint(x) else x for x in split]
+        sides = [[k[side] if k is not None else b"" for k in known] for side in (0, 1)]
         self.forget()
-        return out
+        return {
+            "n_words": np.array([len(x) for x in split], np.int32), "words": np.fromiter((i for x in split for i in x), np.int32),
+            **{f"{n}_ids": np.frombuffer(b"".join(side), np.int32) for n, side in zip("ab", sides)},
+            **{f"{n}_count": np.array([len(x) >> 2 for x in side], np.int32) for n, side in zip("ab", sides)},
+        }
 
     def range(self, body: bytes, begin: int, end: int) -> Fragment:
         """Fragment of begin..end of a text that begins and ends at safe places."""
         words = words_of(body)
-        self.learn(set(words))
-        out, at = Fragment(), 0
+        self.learn(list(dict.fromkeys(words)))
+        out, at, kept = Fragment(), 0, {}
         for w in words:
             low, high = max(begin - at, 0), min(end - at, len(w))
-            if low < high:
-                tokens = self.memo[w]
-                out = out.compose(Fragment(high - low, ok=False) if tokens is None else fragment(*tokens, low, high))
             at += len(w)
+            if low >= high:
+                continue
+            if self.memo[w] is None:
+                out = out.compose(Fragment(high - low, ok=False))
+            elif low == 0 and high == len(w) and out.cut and out.last == out.size:
+                # A whole word behind a common end: all its groups are closed.
+                if w not in kept:
+                    kept[w] = finished(fragment(*self.tokenizers.tokens(self.memo[w]), 0, len(w)))
+                n_a, n_b, n_groups, text, links = kept[w]
+                out.size, out.last = out.size + len(w), out.size + len(w)
+                out.n_a, out.n_b, out.n_groups = out.n_a + n_a, out.n_b + n_b, out.n_groups + n_groups
+                out.groups.append(text)
+                out.links += links
+            else:
+                out = out.compose(fragment(*self.tokenizers.tokens(self.memo[w]), low, high))
         self.forget()
         return out
 
 
+@dataclass
+class Words:
+    """Fragments of all different words of a pack at once. A word begins and ends at safe places, so it consists of closed groups."""
+
+    n_a: np.ndarray
+    n_b: np.ndarray
+    n_groups: np.ndarray
+    links: np.ndarray  # pair codes of all words, one after the other
+    first_link: np.ndarray  # where the links of each word begin, and the end
+    text: bytes  # groups of all words
+    first_byte: np.ndarray
+
+
+def word_fragments(pack: dict[str, np.ndarray], a_length: np.ndarray, b_length: np.ndarray) -> Words:
+    a, b = pack["a_ids"].astype(np.int64), pack["b_ids"].astype(np.int64)
+    end_a, end_b = np.cumsum(a_length[a]), np.cumsum(b_length[b])  # both sides of a word have the same bytes, so both agree
+    total_a = np.cumsum(pack["a_count"])
+    word_end = np.concatenate([[0], end_a])[total_a]
+    common = np.intersect1d(end_a, end_b, assume_unique=True)
+    every = np.union1d(end_a, end_b)
+    # Between two neighbouring ends lies one link: the tokens of both sides that cover this place.
+    links = (a[np.searchsorted(end_a, every)] << 32) | b[np.searchsorted(end_b, every)]
+    first_link = np.concatenate([[0], np.searchsorted(every, word_end, "right")])
+    groups_to = np.searchsorted(common, word_end, "right")
+    side = np.concatenate([2 * np.searchsorted(common, end_a), 2 * np.searchsorted(common, end_b) + 1])
+    order = np.argsort(side, kind="stable")
+    side, ids = side[order], np.concatenate([a, b])[order]
+    last = np.append(side[1:] != side[:-1], True) if len(side) else np.zeros(0, bool)
+    mark = np.where(last, np.where(side % 2 == 0, ord("|"), ord(";")), ord(",")).astype(np.uint8)
+    powers = 10 ** np.arange(1, 11)
+    digits = np.searchsorted(powers, ids, "right") + 1
+    ends = np.cumsum(digits + 1)
+    out = np.empty(int(ends[-1]) if len(ends) else 0, np.uint8)
+    out[ends - 1] = mark
+    place, left, rest = ends - 2, digits.copy(), ids
+    while len(left):  # the last digit of every number, then the one before it
+        out[place] = (rest % 10 + 48).astype(np.uint8)
+        more = left > 1
+        place, left, rest = place[more] - 1, left[more] - 1, rest[more] // 10
+    tokens_to = np.cumsum(pack["a_count"] + pack["b_count"])
+    first_byte = np.concatenate([[0], ends])[np.concatenate([[0], tokens_to])] if len(tokens_to) else np.zeros(1, np.int64)
+    return Words(pack["a_count"], pack["b_count"], np.diff(groups_to, prepend=0), links, first_link, out.tobytes(), first_byte)
+
+
+def per_document(pack: dict[str, np.ndarray], of_word: np.ndarray) -> np.ndarray:
+    """Sum of a number per word over the words of each document."""
+    total = np.concatenate([[0], np.cumsum(of_word[pack["words"]].astype(np.int64))])
+    to = np.cumsum(pack["n_words"])
+    return total[to] - total[to - pack["n_words"]]
+
+
+def pairs_of(pack: dict[str, np.ndarray], w: Words) -> tuple[np.ndarray, np.ndarray]:
+    """(pair codes, number of documents of the pack that hold them)."""
+    codes, link_pair = np.unique(w.links, return_inverse=True)
+    doc = np.repeat(np.arange(len(pack["n_words"])), pack["n_words"])
+    held = np.unique(doc * len(w.n_a) + pack["words"]) if len(w.n_a) else np.zeros(0, np.int64)
+    doc, word = held // max(len(w.n_a), 1), held % max(len(w.n_a), 1)
+    size = np.diff(w.first_link)[word]
+    at = np.repeat(w.first_link[word] - (np.cumsum(size) - size), size) + np.arange(size.sum())
+    found = np.unique(np.repeat(doc, size) * max(len(codes), 1) + link_pair[at])
+    return codes, np.bincount(found % max(len(codes), 1), minlength=len(codes))
+
+
 def words_of(text: bytes) -> list[bytes]:
     cut = [0, *safe_places(np.frombuffer(text, np.uint8)).tolist(), len(text)]
     return [text[a:b] for a, b in zip(cut[:-1], cut[1:])]
@@ -297,7 +396,7 @@ def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, kinds[k]) for c, (_, k) in zip(columns, fields)], names=[f for f, _ in fields])
 
 
-def long_documents(docs: DataFrame, files: tuple[bytes, bytes], chunk_bytes: int) -> DataFrame:
+def long_documents(docs: DataFrame, shared, chunk_bytes: int) -> DataFrame:
     """(doc, doc_id, fragment columns) of the documents given, each composed from its byte ranges by a tree."""
     parts = "doc long, doc_id long, place long, body binary, begin long, end long"
 
@@ -324,7 +423,6 @@ def long_documents(docs: DataFrame, files: tuple[bytes, bytes], chunk_bytes: int
             out = out.compose(from_row(r))
         return pa.Table.from_batches([_batch([(rows[0]["doc"], rows[0]["doc_id"], rows[0]["place"] // FAN, *to_row(out))], level)])
 
-    shared = docs.sparkSession.sparkContext.broadcast(files)
     level = f"doc long, doc_id long, place long, {FRAGMENT}"
     ranges = stored(docs.select("doc_id", "text").mapInArrow(split, parts), "align-ranges", compression="zstd")
     now = stored(ranges.repartition("doc", "place").mapInArrow(lift, level), "align-fragments", compression="zstd")
@@ -344,79 +442,138 @@ def pair_counts(questions: DataFrame) -> DataFrame:
 
 OUT = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups string"
 QUESTION = "pack long, a int, b int, n long"
+ARRAYS = ("ids", "n_words", "words", "a_ids", "a_count", "b_ids", "b_count")
+PACK = "pack_id long, sizes binary, body binary"
 
 
-def pair_codes(links: list[tuple[int, int]]) -> np.ndarray:
-    x = np.array(links, np.int64).reshape(-1, 2)
-    return (x[:, 0] << 32) | x[:, 1]
+def packed(docs: DataFrame, shared) -> DataFrame:
+    """Stored packs of about ``PACK_BYTES`` of text: doc ids, and texts as word numbers with the tokens of the words. Every text is tokenized once."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
 
-def _asked(pack: int, docs: list[np.ndarray]) -> pa.RecordBatch:
-    """Pairs of a pack with the number of its documents that hold them."""
-    codes, n = np.unique(np.concatenate([np.unique(d) for d in docs]) if docs else np.zeros(0, np.int64), return_counts=True)
+        aligner, pack_id = Aligner(*shared.value), TaskContext.get().partitionId() << 32
+        ids: list[int] = []
+        texts: list[bytes] = []
+        size = 0
+
+        def flush() -> pa.RecordBatch:
+            nonlocal pack_id, size
+            arrays = {"ids": np.array(ids, np.int64), **aligner.pack(texts)}
+            sizes = np.array([len(arrays[n]) for n in ARRAYS], np.int64)
+            body = zstandard.ZstdCompressor(level=3).compress(b"".join(arrays[n].tobytes() for n in ARRAYS))
+            out = _batch([(pack_id, sizes.tobytes(), body)], PACK)
+            pack_id, size = pack_id + 1, 0
+            ids.clear()
+            texts.clear()
+            return out
+
+        for batch, parts in groups(batches):
+            for key, text in zip(batch.column("doc_id").to_pylist(), parts):
+                ids.append(NULL_ID if key is None else key)
+                texts.append(text)
+                size += len(text) + 8
+            if size >= PACK_BYTES:
+                yield flush()
+        if ids:
+            yield flush()
+
+    return stored(docs.select("doc_id", "text").mapInArrow(run, PACK), "align-packs")
+
+
+def unpacked(row: dict) -> dict[str, np.ndarray]:
+    data, at, out = zstandard.ZstdDecompressor().decompress(row["body"]), 0, {}
+    for n, size in zip(ARRAYS, np.frombuffer(row["sizes"], np.int64).tolist()):
+        kind = np.int64 if n == "ids" else np.int32
+        out[n] = np.frombuffer(data, kind, size, at)
+        at += size * np.dtype(kind).itemsize
+    return out
+
+
+def asked(pack: int, codes: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [pa.array(np.full(len(codes), pack), pa.int64()), pa.array((codes >> 32).astype(np.int32)), pa.array((codes & 0xFFFFFFFF).astype(np.int32)), pa.array(n, pa.int64())],
         names=["pack", "a", "b", "n"],
     )
 
 
-def _answer(replies: list[dict] | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    blobs = replies or []
-    codes = np.array([(r["a"] << 32) | r["b"] for r in blobs], np.int64)
-    order = np.argsort(codes)
-    return codes[order], np.array([r["n"] for r in blobs], np.int64)[order], np.array([r["best"] for r in blobs], bool)[order]
+def answer_of(column: pa.Array, row: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted pair codes of a pack with their count and whether it is the best of its first id."""
+    value = column[row].values
+    if value is None:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    code, n, best = (np.asarray(value.field(f)).astype(np.int64) for f in ("code", "n", "best"))
+    order = np.argsort(code)
+    return code[order], n[order], best[order]
 
 
-def _scored(key: int | None, told: tuple | None, answer: tuple[np.ndarray, np.ndarray, np.ndarray]) -> tuple:
-    if told is None:
-        return key, 0, 0, 0, 0, 0, 0, ""
-    n_a, n_b, n_groups, text, links = told
-    at = np.searchsorted(answer[0], pair_codes(links))
-    return key, n_a, n_b, n_groups, len(links), int(answer[2][at].sum()), int(answer[1][at].sum()), text
+def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, int, dict]]:
+    """One row at a time, without its replies."""
+    for batch in batches:
+        plain = [n for n in batch.schema.names if n != "replies"]
+        for k in range(batch.num_rows):
+            yield batch, k, batch.select(plain).slice(k, 1).to_pylist()[0]
 
 
 def align(docs: DataFrame, first: str, second: str, chunk_bytes: int = 64 << 10) -> DataFrame:
     """Per document: tokens of both sides, groups, links, links of best count, sum of counts, and the groups as text."""
     files = tuple(open(p, "rb").read() for p in (first, second))
     shared = docs.sparkSession.sparkContext.broadcast(files)
+    lengths = docs.sparkSession.sparkContext.broadcast((lambda t: (t.a_length, t.b_length))(Tokenizers(*files)))
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     is_long = F.coalesce(F.octet_length("text") > chunk_bytes, F.lit(False))
-    packs = chunks.pack(plain.filter(~is_long), "align-packs")
-    finals = long_documents(plain.filter(is_long), files, chunk_bytes)
+    packs = packed(plain.filter(~is_long), shared)
+    finals = long_documents(plain.filter(is_long), shared, chunk_bytes)
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner = Aligner(*shared.value)
-        for batch in batches:
-            for row in range(batch.num_rows):
-                pack = chunks.unpack(batch, row)
-                told = aligner.documents(pack.parts)
-                yield _asked(pack.chunk_id, [pair_codes(t[4]) for t in told if t is not None])
+        for _, _, row in rows_of(batches):
+            pack = unpacked(row)
+            yield asked(row["pack_id"], *pairs_of(pack, word_fragments(pack, *lengths.value)))
 
     def ask_long(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for r in (x for k in range(batch.num_rows) for x in batch.slice(k, 1).to_pylist()):
-                told = finished(from_row(r))
-                yield _asked(-1 - r["doc"], [] if told is None else [pair_codes(told[4])])
+        for _, _, row in rows_of(batches):
+            told = finished(from_row(row))
+            codes = np.unique(pair_codes(told[4])) if told else np.zeros(0, np.int64)
+            yield asked(-1 - row["doc"], codes, np.ones(len(codes), np.int64))
 
     questions = stored(packs.mapInArrow(ask, QUESTION).unionByName(finals.mapInArrow(ask_long, QUESTION)), "align-questions", compression="zstd")
     counts = pair_counts(questions.select("a", "b", "n"))
-    replied = questions.select("pack", "a", "b").join(counts, ["a", "b"])
-    replies = replied.groupBy("pack").agg(F.collect_list(F.struct("a", "b", "n", "best")).alias("replies"))
+    code = F.shiftleft(F.col("a").cast("long"), 32).bitwiseOR(F.col("b").cast("long"))
+    replied = questions.select("pack", "a", "b").join(counts, ["a", "b"]).select("pack", F.struct(code.alias("code"), "n", "best").alias("reply"))
+    replies = replied.groupBy("pack").agg(F.collect_list("reply").alias("replies"))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner = Aligner(*shared.value)
-        for batch in batches:
-            for row in range(batch.num_rows):
-                pack = chunks.unpack(batch, row)
-                answer = _answer(batch.column("replies")[row].as_py())
-                told = aligner.documents(pack.parts)
-                yield _batch([_scored(None if i == chunks.NULL_ID else int(i), t, answer) for i, t in zip(pack.ids, told)], OUT)
+        for batch, k, row in rows_of(batches):
+            pack = unpacked(row)
+            w = word_fragments(pack, *lengths.value)
+            codes, n, best = answer_of(batch.column("replies"), k)
+            at = np.searchsorted(codes, w.links)
+            total = lambda x: np.diff(np.concatenate([[0], np.cumsum(x[at])])[w.first_link])
+            sums = [w.n_a, w.n_b, w.n_groups, np.diff(w.first_link), total(best), total(n)]
+            text = [w.text[i: j - 1] for i, j in zip(w.first_byte[:-1].tolist(), w.first_byte[1:].tolist())]
+            words, to = pack["words"].tolist(), np.cumsum(pack["n_words"]).tolist()
+            whole = [b";".join([text[i] for i in words[e - size: e]]).decode() for e, size in zip(to, pack["n_words"].tolist())]
+            columns = [pa.array(pack["ids"], pa.int64(), mask=pack["ids"] == NULL_ID), *(pa.array(per_document(pack, x)) for x in sums)]
+            out = pa.RecordBatch.from_arrays([*columns, pa.array(whole, pa.large_string()).cast(pa.string())], names=[x.split()[0] for x in OUT.split(", ")])
+            for begin in range(0, out.num_rows, 64):
+                yield out.slice(begin, 64)
 
     def score_long(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for r in (x for k in range(batch.num_rows) for x in batch.slice(k, 1).to_pylist()):
-                yield _batch([_scored(r["doc_id"], finished(from_row(r)), _answer(r["replies"]))], OUT)
+        for batch, k, row in rows_of(batches):
+            told = finished(from_row(row))
+            if told is None:
+                yield _batch([(row["doc_id"], 0, 0, 0, 0, 0, 0, "")], OUT)
+                continue
+            n_a, n_b, n_groups, text, links = told
+            codes, n, best = answer_of(batch.column("replies"), k)
+            at = np.searchsorted(codes, pair_codes(links))
+            yield _batch([(row["doc_id"], n_a, n_b, n_groups, len(links), int(best[at].sum()), int(n[at].sum()), text)], OUT)
 
-    short = packs.join(replies, packs.chunk_id == replies.pack, "left").drop("pack").mapInArrow(score, OUT)
+    short = packs.join(replies, packs.pack_id == replies.pack, "left").drop("pack").mapInArrow(score, OUT)
     long_ = finals.join(replies, F.lit(-1) - finals.doc == replies.pack, "left").drop("pack").mapInArrow(score_long, OUT)
     return short.unionByName(long_)
+
+
+def pair_codes(links: list[tuple[int, int]]) -> np.ndarray:
+    x = np.array(links, np.int64).reshape(-1, 2)
+    return (x[:, 0] << 32) | x[:, 1]
