@@ -118,6 +118,13 @@ class Vocabulary:
                     rank.append(r)
         self._place(np.array(left, np.int64) * size + np.array(right, np.int64), np.array(rank, np.int32))
 
+    @classmethod
+    def from_tables(cls, tables: dict) -> "Vocabulary":
+        """A vocabulary over tables made elsewhere: only plain arrays are broadcast, so a worker needs no copy of this module."""
+        out = cls.__new__(cls)
+        out.__dict__.update(tables)
+        return out
+
     def _place(self, keys: np.ndarray, ranks: np.ndarray) -> None:
         """Open addressing: a key lies in the first free slot from its own on."""
         self.bits = max(10, int(np.ceil(np.log2(max(2, 4 * len(keys))))))
@@ -288,10 +295,10 @@ def decode_ids(rows: list[np.ndarray], v: Vocabulary) -> list[bytes]:
 def encode(docs: DataFrame, path: str, round_trip: bool = False) -> DataFrame:
     """doc_id, n_tokens, ids (little-endian unsigned 32-bit numbers) and, if asked for, the bytes decoded from them again."""
     spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(load(path))
+    shared = spark.sparkContext.broadcast(vars(load(path)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        v, table = shared.value, char_classes()
+        v, table = Vocabulary.from_tables(shared.value), char_classes()
         for batch, parts in groups(batches):
             rows = encode_texts(parts, v, table)
             columns = [
@@ -308,13 +315,14 @@ def encode(docs: DataFrame, path: str, round_trip: bool = False) -> DataFrame:
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
     """doc_id and the bytes that a column ``ids`` stands for; null ids count as none."""
-    shared = encoded.sparkSession.sparkContext.broadcast(load(path))
+    shared = encoded.sparkSession.sparkContext.broadcast(vars(load(path)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        v = Vocabulary.from_tables(shared.value)
         for batch, parts in groups(batches, "ids"):
             rows = [np.frombuffer(p, "<u4").astype(np.int64) for p in parts]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").cast(pa.int64()), pa.array(decode_ids(rows, shared.value), pa.binary())],
+                [batch.column("doc_id").cast(pa.int64()), pa.array(decode_ids(rows, v), pa.binary())],
                 names=["doc_id", "decoded"],
             )
 

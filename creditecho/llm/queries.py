@@ -51,7 +51,11 @@ def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = suffix_array_dedup.repeats_removed(_table(spark, sf_dir, "documents"))
-    return out.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+    spans = F.array_join(F.transform("spans", lambda s: F.concat_ws(":", s["first"].cast("string"), s["last"].cast("string"))), ",")
+    return out.select(
+        "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"),
+        F.make_valid_utf8(F.col("kept").cast("string")).alias("kept"), spans.alias("spans"),
+    )
 
 
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
