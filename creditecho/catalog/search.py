@@ -1,6 +1,8 @@
 """Search queries: index, word and vector search, fusion, evaluation."""
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from creditecho.catalog.registry import Registry, rounded
@@ -8,9 +10,10 @@ from creditecho.catalog.reviews import words_sql
 from creditecho.catalog.views import REVIEWS
 from creditecho.config import SearchOptions
 from creditecho.functions.text import slug
-from creditecho.operators import bm25, fusion, knn
+from creditecho.operators import fusion, index_store, knn
 from creditecho.operators import insights as I
 from creditecho.operators import sentiment as S
+from creditecho.operators.joins import lookup_join
 from creditecho.plans import search as P
 from creditecho.sources import sinks
 from creditecho.sources.tables import doc_vectors, reviews, search_queries
@@ -51,8 +54,17 @@ kept AS (SELECT * EXCLUDE (n) FROM (SELECT *, row_number() OVER (PARTITION BY qu
 _FUSED = f"{_WORDS}, {_VECTORS}, {fused_sql(K, 0.5, 20, 30)}"
 
 
+_opened: dict[tuple[str, str], str] = {}
+
+
 def index_of(spark, sf):
-    return bm25.build_index(bm25.tokenized(reviews(spark, sf), "id", "feedback"))
+    """The stored index of the reviews in ``sf``: built once per application, then only opened."""
+    name = (spark.sparkContext.applicationId, str(sf))
+    if name not in _opened:
+        folder = sinks.work_folder(spark, "index")
+        index_store.build(reviews(spark, sf), folder, vectors=doc_vectors(spark, sf), config={"embedding_dim": "64"})
+        _opened[name] = folder
+    return index_store.StoredIndex(spark, _opened[name])
 
 
 def query_texts(spark, sf):
@@ -77,57 +89,69 @@ def _(spark, sf):
 
 @R.add("bm25_score", f"WITH {_WORDS} SELECT query_id, doc_id, round(bm25,6) AS bm25 FROM sc")
 def _(spark, sf):
-    return rounded(bm25.score(index_of(spark, sf), query_texts(spark, sf)))
+    return rounded(index_of(spark, sf).scores(query_texts(spark, sf)))
 
 
 @R.add("join_terms", f"WITH {_WORDS} SELECT query_id, count(*) AS matches, sum(qtf*tf) AS weight FROM qt JOIN post ON qt.term=post.term GROUP BY query_id")
 def _(spark, sf):
-    terms = bm25.query_terms(query_texts(spark, sf))
-    joined = bm25.lookup_join(index_of(spark, sf).postings(), terms, "term", "inner")
+    index = index_of(spark, sf)
+    joined = lookup_join(index.postings(), index.query_terms(query_texts(spark, sf)), "term", "inner")
     return joined.groupBy("query_id").agg(F.count("*").alias("matches"), F.sum(F.col("qtf") * F.col("tf")).alias("weight"))
 
 
 @R.add("bm25_topk", f"WITH {_WORDS} SELECT query_id, doc_id, rank, round(bm25,6) AS bm25 FROM lr WHERE rank <= 20")
 def _(spark, sf):
-    return rounded(bm25.top_documents(index_of(spark, sf), query_texts(spark, sf), 20))
+    return rounded(index_of(spark, sf).top_documents(query_texts(spark, sf), 20))
 
 
 @R.add("rank_list", f"WITH {_WORDS} SELECT query_id, doc_id, rank FROM lr")
 def _(spark, sf):
-    return bm25.top_documents(index_of(spark, sf), query_texts(spark, sf), 0).select("query_id", "doc_id", "rank")
+    return index_of(spark, sf).top_documents(query_texts(spark, sf), 0).select("query_id", "doc_id", "rank")
 
 
 @R.add("score_positive", f"WITH {_WORDS} SELECT query_id, count(*) AS n FROM sc WHERE bm25 > 0 GROUP BY query_id")
 def _(spark, sf):
-    scores = bm25.score(index_of(spark, sf), query_texts(spark, sf)).filter(F.col("bm25") > 0)
+    scores = index_of(spark, sf).scores(query_texts(spark, sf)).filter(F.col("bm25") > 0)
     return scores.groupBy("query_id").agg(F.count("*").alias("n"))
 
 
-@R.add("sink_index")
+@R.add("sink_index", f"""WITH {_DOCS} SELECT (SELECT count(*) FROM post) AS postings, (SELECT count(*) FROM idf) AS terms, (SELECT count(*) FROM reviews) AS reviews,
+  (SELECT count(*) FROM embeddings) AS vectors, n_docs, round(avgdl,6) AS avgdl FROM cs""")
 def _(spark, sf):
     folder = sinks.work_folder(spark, "index")
-    bm25.save_index(index_of(spark, sf), folder, {"embedding_dim": 64})
-    return spark.read.json(f"{folder}/config")
+    index = index_store.build(reviews(spark, sf), folder, vectors=doc_vectors(spark, sf))
+    count = lambda df, name: df.agg(F.count("*").alias(name)).select(name).scalar()
+    tables = {"postings": index.postings(), "terms": index.terms, "reviews": index.reviews, "vectors": index.vectors()}
+    return rounded(index.corpus.select(*[count(t, n).alias(n) for n, t in tables.items()], "n_docs", "avgdl"))
 
 
 @R.add("src_index", f"WITH {_WORDS} SELECT query_id, doc_id, rank, round(bm25,6) AS bm25 FROM lr WHERE rank <= 10")
 def _(spark, sf):
     folder = sinks.work_folder(spark, "index")
-    bm25.save_index(index_of(spark, sf), folder)
-    return rounded(bm25.top_documents(bm25.StoredIndex(spark, folder), query_texts(spark, sf), 10))
+    index_store.build(reviews(spark, sf), folder)
+    return rounded(index_store.StoredIndex(spark, folder).top_documents(query_texts(spark, sf), 10))
 
 
 # ---------------------------------------------------------------- fallback
-@R.add("substring_fallback", f"""WITH {REVIEWS}, q AS (SELECT DISTINCT upper(substring(html, 1, 9)) AS query FROM pages UNION SELECT DISTINCT upper(title) FROM reviews)
-SELECT query, id AS doc_id FROM q, reviews WHERE contains(lower(feedback), lower(query)) OR contains(lower(title), lower(query))""")
-def _(spark, sf):
+_CASES = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"  # engines differ in the upper case of other letters
+_TEXTS = " UNION ".join(f"SELECT DISTINCT translate({x}, '{_CASES[0]}', '{_CASES[1]}') AS query FROM {t}" for x, t in (
+    ("text", "benchmark"), ("substring(html, 1, 9)", "pages"), ("title", "reviews")))
+
+
+def fallback_texts(spark, sf):
+    """Whole benchmark passages, beginnings of pages and titles, in another case than the reviews."""
     from creditecho.sources.tables import table
 
-    marks = table(spark, sf, "pages").select(F.upper(F.substring("html", 1, 9)).alias("query")).distinct()
-    texts = marks.union(reviews(spark, sf).select(F.upper("title"))).distinct()
-    queries = texts.withColumn("query_id", F.xxhash64("query"))
-    found = bm25.substring_matches(reviews(spark, sf), queries, "id", ["feedback", "title"])
-    return found.join(queries, "query_id").select("query", "doc_id")
+    sides = ((table(spark, sf, "benchmark"), "text"), (table(spark, sf, "pages").select(F.substring("html", 1, 9).alias("html")), "html"), (reviews(spark, sf), "title"))
+    texts = reduce(lambda a, b: a.union(b), (t.select(F.translate(c, *_CASES).alias("query")) for t, c in sides)).distinct()
+    return texts.withColumn("query_id", F.xxhash64("query"))
+
+
+@R.add("substring_fallback", f"""WITH {REVIEWS}, q AS ({_TEXTS})
+SELECT query, id AS doc_id FROM q, reviews WHERE contains(lower(feedback), lower(query)) OR contains(lower(title), lower(query))""")
+def _(spark, sf):
+    queries = fallback_texts(spark, sf)
+    return index_of(spark, sf).substring_matches(queries).join(queries, "query_id").select("query", "doc_id")
 
 
 # ----------------------------------------------------------------- vectors
@@ -184,7 +208,7 @@ def _(spark, sf):
 
 # ------------------------------------------------------------------ fusion
 def lists(spark, sf):
-    words = bm25.top_documents(index_of(spark, sf), query_texts(spark, sf), K)
+    words = index_of(spark, sf).top_documents(query_texts(spark, sf), K)
     near = P.vector_list(search_queries(spark, sf), doc_vectors(spark, sf), K)
     return words, near
 
@@ -220,7 +244,7 @@ def _(spark, sf):
 
 @R.add("limit_after_filter", f"WITH {_FUSED} SELECT query_id, doc_id, rank, round(similarity,6) AS similarity FROM kept")
 def _(spark, sf):
-    hits = P.fused_hits(reviews(spark, sf), search_queries(spark, sf), doc_vectors(spark, sf), OPTIONS)
+    hits = P.fused_hits(index_of(spark, sf), search_queries(spark, sf), options=OPTIONS)
     return rounded(hits.select("query_id", "doc_id", "rank", "similarity"))
 
 
@@ -235,22 +259,22 @@ def _(spark, sf):
 
 @R.add("join_query_docs", f"WITH {_WORDS} SELECT lr.query_id, doc_id, md5(text) AS query_md5, md5(feedback) AS text_md5 FROM lr JOIN benchmark ON item_id=query_id JOIN reviews ON id=doc_id WHERE rank <= 10")
 def _(spark, sf):
-    hits = bm25.top_documents(index_of(spark, sf), query_texts(spark, sf), 10).select("query_id", "doc_id")
-    pairs = P.fetch_reviews(hits, reviews(spark, sf), ("id", "feedback")).join(query_texts(spark, sf), "query_id")
+    hits = index_of(spark, sf).top_documents(query_texts(spark, sf), 10).select("query_id", "doc_id")
+    pairs = P.fetch_reviews(hits, index_of(spark, sf).reviews, ("id", "feedback")).join(query_texts(spark, sf), "query_id")
     return pairs.select("query_id", "doc_id", F.md5("query").alias("query_md5"), F.md5("feedback").alias("text_md5"))
 
 
 @R.add("join_meta", f"WITH {_WORDS} SELECT query_id, doc_id, rank, score, title, sentiment_label FROM lr JOIN reviews ON id=doc_id WHERE rank <= 10")
 def _(spark, sf):
-    hits = bm25.top_documents(index_of(spark, sf), query_texts(spark, sf), 10)
-    return P.fetch_reviews(hits, reviews(spark, sf)).select("query_id", "doc_id", "rank", "score", "title", "sentiment_label")
+    hits = index_of(spark, sf).top_documents(query_texts(spark, sf), 10)
+    return P.fetch_reviews(hits, index_of(spark, sf).reviews).select("query_id", "doc_id", "rank", "score", "title", "sentiment_label")
 
 
 @R.add("sentiment_cap", f"""WITH {_WORDS} SELECT query_id, doc_id, rank, CASE WHEN rank <= 5 THEN sentiment_label END AS sentiment_label,
   CASE WHEN rank <= 5 THEN sentiment_score END AS sentiment_score FROM lr JOIN reviews ON id=doc_id WHERE rank <= 20""")
 def _(spark, sf):
-    hits = bm25.top_documents(index_of(spark, sf), query_texts(spark, sf), 20)
-    found = S.cap_sentiment(P.fetch_reviews(hits, reviews(spark, sf)), 5)
+    hits = index_of(spark, sf).top_documents(query_texts(spark, sf), 20)
+    found = S.cap_sentiment(P.fetch_reviews(hits, index_of(spark, sf).reviews), 5)
     return found.select("query_id", "doc_id", "rank", "sentiment_label", "sentiment_score")
 
 
@@ -290,20 +314,19 @@ def _(spark, sf):
 
 @R.add("search_baseline", f"WITH {_BASE}, {metrics_sql('res', 'query_id')} SELECT query_id, {_SHOW} FROM met")
 def _(spark, sf):
-    found = P.search_baseline(reviews(spark, sf), query_texts(spark, sf))
+    found = P.search_baseline(index_of(spark, sf), query_texts(spark, sf))
     return rounded(P.summarize(found))
 
 
 @R.add("search_baseline_fb", f"""WITH {_DOCS},
-q AS (SELECT DISTINCT upper(substring(title,1,4)) AS query FROM reviews),
-hit AS (SELECT DISTINCT query, doc_id FROM q JOIN post ON term = lower(query)),
+q AS ({_TEXTS}),
+hit AS (SELECT DISTINCT query, doc_id FROM (SELECT query, unnest({words_sql('query')}) AS t FROM q) JOIN post ON term = t),
 res AS (SELECT query, id AS doc_id FROM q, reviews WHERE query NOT IN (SELECT query FROM hit) AND (contains(lower(feedback), lower(query)) OR contains(lower(title), lower(query)))
   UNION ALL SELECT query, doc_id FROM hit)
 SELECT query, doc_id, score, title FROM res JOIN reviews ON id=doc_id""")
 def _(spark, sf):
-    texts = reviews(spark, sf).select(F.upper(F.substring("title", 1, 4)).alias("query")).distinct()
-    queries = texts.withColumn("query_id", F.xxhash64("query"))
-    found = P.search_baseline(reviews(spark, sf), queries, fallback=True)
+    queries = fallback_texts(spark, sf)
+    found = P.search_baseline(index_of(spark, sf), queries, fallback=True)
     return found.join(queries, "query_id").select("query", "doc_id", "score", "title")
 
 
@@ -313,7 +336,7 @@ _ALL = f"{_WORDS}, {_VECTORS}, {fused_sql(0, 0.5, 1000, 0)}"
 @R.add("search_hybrid", f"""WITH {_ALL} SELECT query_id, doc_id, round(similarity,6) AS similarity, round(rrf,6) AS rrf, score, title, timestamp, sentiment_label, sentiment_score
 FROM kept JOIN reviews ON id=doc_id""")
 def _(spark, sf):
-    found = P.search_hybrid(reviews(spark, sf), search_queries(spark, sf), doc_vectors(spark, sf))
+    found = P.search_hybrid(index_of(spark, sf), search_queries(spark, sf))
     return rounded(found.select(
         "query_id", "doc_id", "similarity", "rrf", "score", "title", "timestamp", "sentiment_label", "sentiment_score"
     ))
@@ -323,7 +346,7 @@ def _(spark, sf):
 SELECT substring(regexp_replace(text,'[^\\p{{L}}\\p{{N}}_]+','_','g'),1,40) AS query_slug, n.query_id, doc_id, rank, score, title FROM n JOIN benchmark ON item_id=query_id JOIN reviews ON id=doc_id WHERE n <= 5""")
 def _(spark, sf):
     folder = sinks.work_folder(spark, "results")
-    found = P.search_hybrid(reviews(spark, sf), search_queries(spark, sf), doc_vectors(spark, sf), OPTIONS)
+    found = P.search_hybrid(index_of(spark, sf), search_queries(spark, sf), options=OPTIONS)
     named = found.join(query_texts(spark, sf), "query_id").select("query_id", "query", "doc_id", "rank", "score", "title")
     sinks.write_results(named, folder)
     back = spark.read.schema("query_id long, query string, doc_id long, rank long, score double, title string").option(
@@ -338,7 +361,7 @@ _BOTH = f"""{_FUSED}, pair AS (
 
 
 def both_sides(spark, sf):
-    return P.evaluate_queries(reviews(spark, sf), search_queries(spark, sf), doc_vectors(spark, sf), OPTIONS)
+    return P.evaluate_queries(index_of(spark, sf), search_queries(spark, sf), options=OPTIONS)
 
 
 @R.add("eval_queries", f"WITH {_BOTH} SELECT query_id, side, {_SHOW}, round(negative_rate,6) AS negative_rate, round(positive_rate,6) AS positive_rate FROM met")

@@ -79,6 +79,7 @@ class SearchOptions:
     min_sim: float = 0.5
     max_bm25_only: int = 0  # 0: all
     limit: int = 0
+    sentiment_limit: int = 0  # sentiment of the first results of a query only; 0: of all
 
 
 @dataclass(frozen=True)

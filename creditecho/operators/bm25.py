@@ -1,24 +1,13 @@
-"""BM25 index tables and scoring for a whole table of queries at once.
-
-Every document is partitioned by its key once; term counts, scores per (query, document) and the cut to
-the first k then need no further shuffle of the corpus. Scores are summed in fixed point, so they do not
-depend on the order of rows and ranks stay the same when a task is retried.
-"""
+"""Words of documents and sums that do not depend on the order of rows. The index itself is in ``index_store``."""
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from creditecho.config import BM25_B, BM25_EPSILON, BM25_K1
 from creditecho.functions.text import tokens
-from creditecho.operators.joins import is_small, lookup_join
-from creditecho.operators.totals import top_ranked
-from creditecho.session import checkpointed
+from creditecho.operators.joins import lookup_join
 
 SCALE = 1e10
-QUERIES_PER_SCAN = 5_000
 
 
 def fixed_sum(x: Column) -> Column:
@@ -43,135 +32,3 @@ def lemmatized(docs: DataFrame, lemmas: DataFrame) -> DataFrame:
     word = F.coalesce("lemma", "_word")
     pairs = F.array_sort(F.collect_list(F.when(F.col("_at").isNotNull(), F.struct("_at", word.alias("_w")))))
     return joined.groupBy("doc_id").agg(F.transform(pairs, lambda p: p["_w"]).alias("words"))
-
-
-@dataclass
-class Index:
-    """The index as tables. ``docs`` holds (doc_id, words)."""
-
-    docs: DataFrame
-    terms: DataFrame
-    corpus: DataFrame
-
-    def postings(self) -> DataFrame:
-        return postings(self.docs)
-
-
-def postings(docs: DataFrame) -> DataFrame:
-    """(term, doc_id, tf, dl) with one row per word of a document."""
-    spread = docs.repartition("doc_id").select("doc_id", F.size("words").alias("dl"), F.explode("words").alias("term"))
-    return spread.groupBy("doc_id", "dl", "term").agg(F.count("*").alias("tf"))
-
-
-def corpus_stats(docs: DataFrame) -> DataFrame:
-    return docs.agg(F.count("*").alias("n_docs"), F.avg(F.size("words")).alias("avgdl"))
-
-
-def term_stats(docs: DataFrame, corpus: DataFrame) -> DataFrame:
-    """(term, df, idf); a negative idf becomes a quarter of the mean idf."""
-    counts = docs.select(F.explode(F.array_distinct("words")).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
-    n = F.col("_n").cast("double")
-    raw = counts.withColumn("_n", corpus.select("n_docs").scalar()).withColumn(
-        "_raw", F.ln(n - F.col("df") + 0.5) - F.ln(F.col("df") + 0.5)
-    )
-    mean = raw.agg(F.avg("_raw")).scalar()
-    floor = F.lit(BM25_EPSILON) * mean
-    return raw.withColumn("idf", F.when(F.col("_raw") < 0, floor).otherwise(F.col("_raw"))).select("term", "df", "idf")
-
-
-def build_index(docs: DataFrame, stored: bool = False) -> Index:
-    """Index over (doc_id, words). ``stored`` writes the tables to the checkpoint folder, for plans that
-    read them more than once; ``save_index`` keeps them for later sessions."""
-    keep = checkpointed if stored else (lambda df: df)
-    docs = keep(docs)
-    corpus = keep(corpus_stats(docs))
-    return Index(docs, keep(term_stats(docs, corpus)), corpus)
-
-
-def query_terms(queries: DataFrame) -> DataFrame:
-    """(query_id, term, qtf); a repeated word counts each time."""
-    words = queries.select("query_id", F.explode(tokens(F.col("query"))).alias("term"))
-    return words.groupBy("query_id", "term").agg(F.count("*").alias("qtf"))
-
-
-def score(index: Index, queries: DataFrame, k1: float = BM25_K1, b: float = BM25_B) -> DataFrame:
-    """(query_id, doc_id, bm25) for every document that shares a word with a query.
-
-    Weighted query words are broadcast after a count; larger query tables are joined by word, where
-    adaptive execution splits frequent words.
-    """
-    weighted = query_terms(queries).join(index.terms.select("term", "idf"), "term").withColumn(
-        "_w", F.col("qtf") * F.col("idf")
-    ).select("query_id", "term", "_w")
-    small = is_small(query_terms(queries))
-    matched = index.postings().join(F.broadcast(weighted) if small else weighted, "term")
-    matched = matched.withColumn("_avgdl", index.corpus.select("avgdl").scalar())
-    tf = F.col("tf").cast("double")
-    norm = F.lit(k1) * (F.lit(1 - b) + F.lit(b) * F.col("dl") / F.col("_avgdl"))
-    part = F.col("_w") * tf * F.lit(k1 + 1) / (tf + norm)
-    return matched.groupBy("query_id", "doc_id").agg(fixed_sum(part).alias("bm25"))
-
-
-def top_documents(index: Index, queries: DataFrame, k: int = 0) -> DataFrame:
-    """Ranked list per query over positive scores; ``k <= 0`` keeps all.
-
-    A full ranking reads the scores several times, so they are written to the checkpoint folder first.
-    """
-    positive = score(index, queries).filter(F.col("bm25") > 0)
-    if k <= 0:
-        positive = checkpointed(positive)
-    return top_ranked(positive, ["query_id"], "bm25", "doc_id", k)
-
-
-def substring_matches(docs: DataFrame, queries: DataFrame, key: str, columns: list[str]) -> DataFrame:
-    """(query_id, doc_id) where a column contains the query text, ignoring case.
-
-    Each document is compared with a block of query texts inside its own row; large query tables take
-    several passes instead of a join without a key.
-    """
-    blocks = -(-queries.count() // QUERIES_PER_SCAN) or 1
-    out = None
-    for block in range(blocks):
-        mine = queries.filter(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == block)
-        texts = mine.agg(F.collect_list(F.struct("query_id", F.lower("query").alias("q")))).scalar()
-        found = docs.withColumn("_queries", texts)
-        lowered = F.array(*[F.lower(F.coalesce(F.col(c), F.lit(""))) for c in columns])
-        hits = F.flatten(F.transform(
-            F.array(lowered), lambda t: F.filter(F.col("_queries"), lambda q: F.exists(t, lambda x: x.contains(q["q"])))
-        ))
-        part = found.select(F.col(key).alias("doc_id"), F.explode(hits).alias("_hit")).select("_hit.query_id", "doc_id")
-        out = part if out is None else out.unionByName(part)
-    return out
-
-
-def with_fallback(hits: DataFrame, queries: DataFrame, docs: DataFrame, key: str, columns: list[str]) -> DataFrame:
-    """Adds substring matches, in key order, for queries without any hit."""
-    empty = queries.join(hits.select("query_id").distinct(), "query_id", "left_anti")
-    plain = substring_matches(docs, empty, key, columns).withColumn("bm25", F.lit(0.0))
-    listed = top_ranked(plain, ["query_id"], "bm25", "doc_id", 0)
-    return hits.unionByName(listed.select(hits.columns))
-
-
-def save_index(index: Index, folder: str, config: dict | None = None) -> None:
-    """Writes the tables; postings lie sorted by word, so a search reads only matching row groups."""
-    index.docs.write.mode("overwrite").parquet(f"{folder}/docs")
-    index.terms.write.mode("overwrite").parquet(f"{folder}/terms")
-    index.corpus.write.mode("overwrite").parquet(f"{folder}/corpus")
-    index.postings().repartitionByRange("term", "doc_id").sortWithinPartitions("term").write.mode("overwrite").parquet(
-        f"{folder}/postings"
-    )
-    values = {"tokenizer": "word", "metric": "cosine", **(config or {})}
-    described = index.corpus.select("*", *[F.lit(v).alias(k) for k, v in values.items()])
-    described.coalesce(1).write.mode("overwrite").json(f"{folder}/config")
-
-
-class StoredIndex(Index):
-    """Index read back from files; postings come from the stored table."""
-
-    def __init__(self, spark, folder: str):
-        read = spark.read.parquet
-        super().__init__(read(f"{folder}/docs"), read(f"{folder}/terms"), read(f"{folder}/corpus"))
-        self.folder = folder
-
-    def postings(self) -> DataFrame:
-        return self.docs.sparkSession.read.parquet(f"{self.folder}/postings")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from creditecho.config import RRF_K
 from creditecho.operators.bm25 import fixed_sum
 from creditecho.operators.totals import ranked
+from creditecho.session import stored
 
 
 def ranked_lists(**lists: DataFrame) -> DataFrame:
@@ -26,13 +27,29 @@ def rrf_scores(lists: DataFrame, k: int = RRF_K) -> DataFrame:
     return lists.groupBy("query_id", "doc_id").agg(fixed_sum(1.0 / (F.lit(k) + F.col("rank"))).alias("rrf"))
 
 
+def fuse(words: DataFrame, near: DataFrame, k: int = RRF_K) -> DataFrame:
+    """(query_id, doc_id, rrf, bm25, sim, similarity) of a word list and a vector list in one grouping; a score that a list lacks is NULL."""
+    none = F.lit(None).cast("double")
+    both = words.select("query_id", "doc_id", "rank", "bm25", none.alias("sim")).unionByName(
+        near.select("query_id", "doc_id", "rank", none.alias("bm25"), (-F.col("distance")).alias("sim"))
+    )
+    out = both.groupBy("query_id", "doc_id").agg(
+        fixed_sum(1.0 / (F.lit(k) + F.col("rank"))).alias("rrf"), F.max("bm25").alias("bm25"), F.max("sim").alias("sim"),
+    )
+    return out.withColumn("similarity", F.coalesce("sim", F.lit(0.0)))
+
+
+def with_rank(df: DataFrame, score: str, bounded: bool) -> DataFrame:
+    """Adds ``rank`` by descending score per query; ``bounded`` states that lists were cut to a fixed length."""
+    if not bounded:
+        return ranked(stored(df, "fused"), ["query_id"], score, "doc_id")
+    order = W.partitionBy("query_id").orderBy(F.col(score).desc(), "doc_id")
+    return df.withColumn("rank", F.row_number().over(order).cast("long"))
+
+
 def rrf(lists: DataFrame, k: int = RRF_K, bounded: bool = True) -> DataFrame:
     """Fused ranks. ``bounded`` states that the input lists were cut to a fixed length."""
-    scores = rrf_scores(lists, k)
-    if not bounded:
-        return ranked(scores, ["query_id"], "rrf", "doc_id")
-    order = W.partitionBy("query_id").orderBy(F.col("rrf").desc(), "doc_id")
-    return scores.withColumn("rank", F.row_number().over(order).cast("long"))
+    return with_rank(rrf_scores(lists, k), "rrf", bounded)
 
 
 def with_similarity(fused: DataFrame, vector_hits: DataFrame) -> DataFrame:
@@ -69,10 +86,7 @@ def limit_per_query(df: DataFrame, n: int, order: str = "rank") -> DataFrame:
 def rerank(df: DataFrame, scorer: Callable[[], Column] | Column, bounded: bool = True) -> DataFrame:
     """New ranks by a score column, for example a user model applied through ``mapInPandas``."""
     scored = df.drop("rank").withColumn("rerank_score", scorer() if callable(scorer) else scorer)
-    if not bounded:
-        return ranked(scored, ["query_id"], "rerank_score", "doc_id")
-    order = W.partitionBy("query_id").orderBy(F.col("rerank_score").desc(), "doc_id")
-    return scored.withColumn("rank", F.row_number().over(order).cast("long"))
+    return with_rank(scored, "rerank_score", bounded)
 
 
 def blended_score(word_score: str = "bm25", sim: str = "similarity", weight: float = 0.5) -> Column:

@@ -5,37 +5,50 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from creditecho.config import SearchOptions
-from creditecho.operators import bm25, fusion, knn
-from creditecho.operators.sentiment import sentiment_class, sentiment_summary
+from creditecho.operators import fusion, index_store, knn
+from creditecho.operators.index_store import StoredIndex
+from creditecho.operators.sentiment import cap_sentiment, sentiment_class, sentiment_summary
 from creditecho.operators.totals import ranked
-from creditecho.session import checkpointed
+from creditecho.session import stored
+from creditecho.sources.sinks import work_folder
 
 REVIEW = ("id", "score", "title", "feedback", "timestamp", "sentiment_label", "sentiment_score")
 
 
 def fetch_reviews(hits: DataFrame, reviews: DataFrame, columns=REVIEW) -> DataFrame:
     """Review rows of the hits by document key; ranks travel with the rows."""
-    present = [c for c in columns if c in reviews.columns]
-    return hits.join(reviews.select(*present).withColumnRenamed("id", "doc_id"), "doc_id")
+    rows = reviews if "doc_id" in reviews.columns else reviews.withColumnRenamed("id", "doc_id")
+    return hits.join(rows.select("doc_id", *[c for c in columns if c != "id" and c in rows.columns]), "doc_id")
 
 
-def word_list(reviews: DataFrame, queries: DataFrame, options: SearchOptions = SearchOptions()) -> DataFrame:
+def opened(source: DataFrame | StoredIndex, vectors: DataFrame | None = None, lemmas: DataFrame | None = None) -> StoredIndex:
+    """A stored index as it is; a review table is indexed first, in a folder of its own."""
+    if isinstance(source, StoredIndex):
+        return source
+    return index_store.build(source, work_folder(source.sparkSession, "index"), vectors=vectors, lemmas=lemmas)
+
+
+def word_list(source: DataFrame | StoredIndex, queries: DataFrame, options: SearchOptions = SearchOptions()) -> DataFrame:
     """Ranked word hits of every query, written once because later steps read them repeatedly."""
-    index = bm25.build_index(bm25.tokenized(reviews, "id", "feedback"), stored=True)
-    return checkpointed(bm25.top_documents(index, queries, options.k_lex))
+    return stored(opened(source).top_documents(queries, options.k_lex), "word-list")
 
 
 def search_baseline(
-    reviews: DataFrame, queries: DataFrame, options: SearchOptions = SearchOptions(), fallback: bool = False,
+    source: DataFrame | StoredIndex, queries: DataFrame, options: SearchOptions = SearchOptions(), fallback: bool = False,
     words: DataFrame | None = None,
 ) -> DataFrame:
     """Word search: positive BM25 hits in rank order, optionally substring matches when there is none."""
-    words = words if words is not None else word_list(reviews, queries, options)
+    index = opened(source)
+    words = words if words is not None else word_list(index, queries, options)
     hits = fusion.limit_per_query(words.select("query_id", "doc_id", "bm25", "rank"), options.limit)
     if fallback:
-        hits = bm25.with_fallback(hits, queries, reviews, "id", ["feedback", "title"])
-        hits = fusion.limit_per_query(hits, options.limit)
-    return fetch_reviews(hits, reviews)
+        hits = fusion.limit_per_query(index.with_fallback(hits, queries), options.limit)
+    return with_sentiment(fetch_reviews(hits, index.reviews), options)
+
+
+def with_sentiment(found: DataFrame, options: SearchOptions) -> DataFrame:
+    """Sentiment of the first ``options.sentiment_limit`` results of a query; 0 keeps it for all."""
+    return cap_sentiment(found, options.sentiment_limit) if options.sentiment_limit > 0 else found
 
 
 def vector_list(queries: DataFrame, vectors: DataFrame, k: int, min_sim: float | None = None) -> DataFrame:
@@ -44,28 +57,39 @@ def vector_list(queries: DataFrame, vectors: DataFrame, k: int, min_sim: float |
     c = vectors.select("doc_id", F.col("embedding").alias("vector"))
     if k > 0:
         return knn.nearest(q, c, k)
-    found = checkpointed(knn.similar(q, c, min_sim).withColumn("_near", -F.col("distance")))
+    found = stored(knn.similar(q, c, min_sim).withColumn("_near", -F.col("distance")), "near")
     return ranked(found, ["query_id"], "_near", "doc_id").drop("_near")
 
 
+def with_vectors(queries: DataFrame, encoder) -> DataFrame:
+    """Queries with an ``embedding``: as given, or made by an encoder (``encode(df, column)``) from their text."""
+    if "embedding" in queries.columns:
+        return queries
+    if encoder is None:
+        raise ValueError("queries need a column embedding or an encoder")
+    return stored(encoder.encode(queries, "query"), "query-vectors")
+
+
 def fused_hits(
-    reviews: DataFrame, queries: DataFrame, vectors: DataFrame, options: SearchOptions = SearchOptions(),
-    scorer: Column | None = None, words: DataFrame | None = None,
+    source: DataFrame | StoredIndex, queries: DataFrame, vectors: DataFrame | None = None, options: SearchOptions = SearchOptions(),
+    scorer: Column | None = None, words: DataFrame | None = None, encoder=None,
 ) -> DataFrame:
-    """(query_id, doc_id, rank, rrf, bm25, sim, similarity) after fusion, filter and limit."""
+    """(query_id, doc_id, rank, rrf, bm25, sim, similarity) after fusion, filter and limit. Without ``vectors`` those of the index are used."""
     bounded = options.k_lex > 0 and options.k_vec > 0
-    words = words if words is not None else word_list(reviews, queries, options)
+    index = opened(source, vectors)
+    vectors = vectors if vectors is not None else index.vectors()
+    words = words if words is not None else word_list(index, queries, options)
     limit = options.min_sim if options.min_sim > 0 else None
-    near = vector_list(queries, vectors, options.k_vec, limit)
-    near = checkpointed(near)
-    fused = fusion.rrf(fusion.ranked_lists(bm25=words, vectors=near), options.rrf_k, bounded)
-    fused = fusion.with_similarity(fused, near).join(
-        words.select("query_id", "doc_id", "bm25"), ["query_id", "doc_id"], "left"
-    )
+    near = vector_list(with_vectors(queries, encoder), vectors, options.k_vec, limit)
+    fused = fusion.fuse(words, near, options.rrf_k)
     if options.k_vec <= 0 and limit is not None:
         # the full vector list would hold these documents, below the limit
         known = vectors.select("doc_id", F.lit(True).alias("_known"))
-        fused = fused.join(known, "doc_id", "left").filter("sim IS NOT NULL OR _known IS NULL").drop("_known")
+        fused = fused.join(known, "doc_id", "left")
+        ranked_ = fusion.with_rank(fused, "rrf", bounded)
+        fused = ranked_.filter("sim IS NOT NULL OR _known IS NULL").drop("_known")
+    else:
+        fused = fusion.with_rank(fused, "rrf", bounded)
     if scorer is not None:
         fused = fusion.rerank(fused, scorer, bounded)
     kept = fusion.min_sim_filter(fused, options.min_sim, options.max_bm25_only)
@@ -73,32 +97,34 @@ def fused_hits(
 
 
 def search_hybrid(
-    reviews: DataFrame, queries: DataFrame, vectors: DataFrame, options: SearchOptions = SearchOptions(),
-    scorer: Column | None = None, words: DataFrame | None = None,
+    source: DataFrame | StoredIndex, queries: DataFrame, vectors: DataFrame | None = None, options: SearchOptions = SearchOptions(),
+    scorer: Column | None = None, words: DataFrame | None = None, encoder=None,
 ) -> DataFrame:
     """Word and vector search fused by reciprocal ranks, with review rows attached."""
-    return fetch_reviews(fused_hits(reviews, queries, vectors, options, scorer, words), reviews)
+    index = opened(source, vectors)
+    return with_sentiment(fetch_reviews(fused_hits(index, queries, vectors, options, scorer, words, encoder), index.reviews), options)
 
 
 def summarize(results: DataFrame, by: list[str] = ("query_id",)) -> DataFrame:
     """Sentiment metrics per result set. Medians and ranks read the results repeatedly, so the four columns
-    they need are written to the checkpoint folder once."""
+    they need are written to the shared folder once."""
     by = list(by)
-    return sentiment_summary(checkpointed(results.select(*by, "score", "sentiment_label", "sentiment_score")), by)
+    return sentiment_summary(stored(results.select(*by, "score", "sentiment_label", "sentiment_score"), "results"), by)
 
 
 def evaluate_queries(
-    reviews: DataFrame, queries: DataFrame, vectors: DataFrame, options: SearchOptions = SearchOptions(),
+    source: DataFrame | StoredIndex, queries: DataFrame, vectors: DataFrame | None = None, options: SearchOptions = SearchOptions(),
 ) -> DataFrame:
     """Sentiment metrics of both searches: one row per query and side.
 
-    The two result lists are written once to the checkpoint folder, since the metrics read them repeatedly.
+    The two result lists are written once to the shared folder, since the metrics read them repeatedly.
     """
-    words = word_list(reviews, queries, options)
+    index = opened(source, vectors)
+    words = word_list(index, queries, options)
     keep = ["query_id", "side", "score", "sentiment_label", "sentiment_score"]
-    plain = search_baseline(reviews, queries, options, fallback=True, words=words).withColumn("side", F.lit("baseline"))
-    mixed = search_hybrid(reviews, queries, vectors, options, words=words).withColumn("side", F.lit("rag"))
-    results = checkpointed(plain.select(keep).unionByName(mixed.select(keep)))
+    plain = search_baseline(index, queries, options, fallback=True, words=words).withColumn("side", F.lit("baseline"))
+    mixed = search_hybrid(index, queries, vectors, options, words=words).withColumn("side", F.lit("rag"))
+    results = stored(plain.select(keep).unionByName(mixed.select(keep)), "results")
     cls = sentiment_class(F.col("sentiment_score"), null_as_neutral=True)
     rates = results.groupBy("query_id", "side").agg(
         F.avg((cls == "negative").cast("double")).alias("negative_rate"),

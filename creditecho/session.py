@@ -2,6 +2,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -41,6 +42,13 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+def stored(df: DataFrame, name: str, **options: str) -> DataFrame:
+    """Writes a frame as Parquet into the shared folder and reads it back: lineage ends here, columns are pruned and filters pushed down."""
+    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.options(**options).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Cut lineage through the shared folder.
 

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from creditecho.config import SearchOptions
-from creditecho.operators import bm25, encoder, fusion, knn
+from creditecho.operators import encoder, fusion, knn
 from creditecho.operators import sentiment as S
 from creditecho.plans import search as P
 
@@ -36,11 +36,11 @@ def brute_bm25(texts, query, k1=1.5, b=0.75):
 def test_bm25_equals_the_formula_and_repeats_count(spark, reviews):
     texts = [r.feedback for r in reviews.orderBy("id").collect()]
     queries = spark.createDataFrame([(1, "apple apple sky"), (2, "zzzz")], "query_id long, query string")
-    index = bm25.build_index(bm25.tokenized(reviews, "id", "feedback"))
-    got = {r.doc_id: r.bm25 for r in bm25.top_documents(index, queries).collect()}
+    index = P.opened(reviews)
+    got = {r.doc_id: r.bm25 for r in index.top_documents(queries).collect()}
     want = brute_bm25(texts, "apple apple sky")
     assert got == pytest.approx({i: s for i, s in enumerate(want) if s > 0}, abs=1e-8)
-    assert [r.doc_id for r in bm25.top_documents(index, queries, 2).orderBy("rank").collect()] == list(np.argsort([-w for w in want], kind="stable")[:2])
+    assert [r.doc_id for r in index.top_documents(queries, 2).orderBy("rank").collect()] == list(np.argsort([-w for w in want], kind="stable")[:2])
 
 
 def test_substring_fallback_only_for_queries_without_hits(spark, reviews):
@@ -154,10 +154,21 @@ def test_encoders_give_unit_vectors(spark, reviews):
     assert all(np.linalg.norm(r.embedding) == pytest.approx(1, abs=1e-5) for r in own.collect())
 
 
-def test_stored_index_gives_the_same_hits(spark, reviews, tmp_path):
-    index = bm25.build_index(bm25.tokenized(reviews, "id", "feedback"))
-    bm25.save_index(index, str(tmp_path / "index"))
-    queries = spark.createDataFrame([(1, "green apple")], "query_id long, query string")
-    want = bm25.top_documents(index, queries).collect()
-    got = bm25.top_documents(bm25.StoredIndex(spark, str(tmp_path / "index")), queries).collect()
-    assert sorted(map(tuple, got)) == sorted(map(tuple, want))
+def test_query_encoder_lemmas_and_sentiment_limit(spark, reviews):
+    model = encoder.fit_encoder(reviews, "feedback")
+    vectors = model.encode(reviews, "feedback").select(F.col("id").alias("doc_id"), "embedding")
+    texts = spark.createDataFrame([(1, "sky")], "query_id long, query string")
+    given = model.encode(texts, "query")
+    options = SearchOptions(k_lex=5, k_vec=3, min_sim=0.1, sentiment_limit=1)
+    got = P.search_hybrid(reviews, texts, vectors, options, encoder=model).collect()
+    want = P.search_hybrid(reviews, given, vectors, options).collect()
+    key = lambda rows: sorted((r.doc_id, r.rank, round(r.rrf, 9), r.sentiment_score) for r in rows)
+    assert key(got) == key(want) and len(got) > 1
+    assert all(r.sentiment_score is None for r in got if r.rank > 1)
+    with pytest.raises(ValueError):
+        P.search_hybrid(reviews, texts, vectors, options)
+    lemmas = spark.createDataFrame([("apples", "apple"), ("skies", "sky")], "token string, lemma string")
+    index = P.opened(reviews, lemmas=lemmas)
+    many = spark.createDataFrame([(1, "skies"), (2, "apples")], "query_id long, query string")
+    found = {(r.query_id, r.doc_id) for r in index.top_documents(many).collect()}
+    assert found == {(1, 2), (1, 4), (2, 0), (2, 1), (2, 3)}
