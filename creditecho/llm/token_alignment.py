@@ -40,7 +40,7 @@ from creditecho.llm.textbatch import groups
 
 FAN = 8
 PACK_BYTES = 2 << 20
-MEMO_ENTRIES = 300_000
+MEMO_ENTRIES = 150_000
 QUICK_BYTES = 512
 SPACE_MARK = "▁"  # Fixed value: the mark that stands for a space in pieces
 Token = tuple[int, int]  # id, length in bytes that lie in the range or before it; see Fragment
@@ -59,12 +59,10 @@ class Tokenizers:
     def __init__(self, first: bytes, second: bytes):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import sentencepiece
-        from tokenizers import Tokenizer
 
-        self.a = Tokenizer.from_str(first.decode())
-        self.a.encode_special_tokens = True
-        letters = byte_letters()
-        vocabulary = self.a.get_vocab(with_added_tokens=False)
+        self.first, self._a = first, None
+        letters, described = byte_letters(), json.loads(first)
+        vocabulary = described["model"]["vocab"]
         self.a_bytes = {i: bytes(letters[c] for c in t) for t, i in vocabulary.items() if all(c in letters for c in t)}
         self.b = sentencepiece.SentencePieceProcessor(model_proto=second)
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
@@ -77,7 +75,17 @@ class Tokenizers:
         self.a_length = np.zeros(max(self.a_bytes) + 1, np.int64)
         self.a_length[list(self.a_bytes)] = [len(x) for x in self.a_bytes.values()]
         self.b_length = np.array([len(x) for x in self.b_bytes], np.int64)
-        self.quick = self._quick(json.loads(first), vocabulary)
+        self.quick = self._quick(described, vocabulary)
+
+    @property
+    def a(self):
+        """The first tokenizer's own library, loaded when a long word needs it; it takes much more memory than the quick one."""
+        if self._a is None:
+            from tokenizers import Tokenizer
+
+            self._a = Tokenizer.from_str(self.first.decode())
+            self._a.encode_special_tokens = True
+        return self._a
 
     def _quick(self, described: dict, vocabulary: dict[str, int]):
         """The faster library with the same vocabulary, if it splits and merges alike: merges in the order of their ids."""
@@ -96,8 +104,9 @@ class Tokenizers:
         texts = [w.decode() for w in words]
         ids_a: list[list[int]] = [[]] * len(words)
         slow = [i for i, w in enumerate(words) if self.quick is None or len(w) > QUICK_BYTES]
-        for i, e in zip(slow, self.a.encode_batch_fast([texts[i] for i in slow], add_special_tokens=False)):
-            ids_a[i] = e.ids
+        if slow:
+            for i, e in zip(slow, self.a.encode_batch_fast([texts[i] for i in slow], add_special_tokens=False)):
+                ids_a[i] = e.ids
         if self.quick is not None:
             for i, (w, t) in enumerate(zip(words, texts)):
                 if len(w) <= QUICK_BYTES:
@@ -296,17 +305,20 @@ class Words:
     first_byte: np.ndarray
 
 
-def word_fragments(pack: dict[str, np.ndarray], a_length: np.ndarray, b_length: np.ndarray) -> Words:
+def word_fragments(pack: dict[str, np.ndarray], a_length: np.ndarray, b_length: np.ndarray, with_text: bool = True) -> Words:
     a, b = pack["a_ids"].astype(np.int64), pack["b_ids"].astype(np.int64)
     end_a, end_b = np.cumsum(a_length[a]), np.cumsum(b_length[b])  # both sides of a word have the same bytes, so both agree
     total_a = np.cumsum(pack["a_count"])
     word_end = np.concatenate([[0], end_a])[total_a]
-    common = np.intersect1d(end_a, end_b, assume_unique=True)
-    every = np.union1d(end_a, end_b)
+    both = np.sort(np.concatenate([end_a, end_b]), kind="stable")  # two sorted runs, merged in one go
+    every = both[np.append(both[1:] != both[:-1], True)] if len(both) else both
+    common = both[1:][both[1:] == both[:-1]]
     # Between two neighbouring ends lies one link: the tokens of both sides that cover this place.
     links = (a[np.searchsorted(end_a, every)] << 32) | b[np.searchsorted(end_b, every)]
     first_link = np.concatenate([[0], np.searchsorted(every, word_end, "right")])
     groups_to = np.searchsorted(common, word_end, "right")
+    if not with_text:
+        return Words(pack["a_count"], pack["b_count"], np.diff(groups_to, prepend=0), links, first_link, b"", np.zeros(0, np.int64))
     side = np.concatenate([2 * np.searchsorted(common, end_a), 2 * np.searchsorted(common, end_b) + 1])
     order = np.argsort(side, kind="stable")
     side, ids = side[order], np.concatenate([a, b])[order]
@@ -528,7 +540,7 @@ def align(docs: DataFrame, first: str, second: str, chunk_bytes: int = 64 << 10)
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, _, row in rows_of(batches):
             pack = unpacked(row)
-            yield asked(row["pack_id"], *pairs_of(pack, word_fragments(pack, *lengths.value)))
+            yield asked(row["pack_id"], *pairs_of(pack, word_fragments(pack, *lengths.value, with_text=False)))
 
     def ask_long(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, _, row in rows_of(batches):
