@@ -159,13 +159,39 @@ def test_neighbours_recall(spark):
     points = rng.standard_normal((1500, 32)).astype(np.float32) + 3 * rng.standard_normal((1500, 1)).astype(np.float32)
     frame = spark.createDataFrame([(i, p.tolist()) for i, p in enumerate(points)], "vec_id long, embedding array<float>")
     hits, exact = 0, points.astype(float)
-    for q, ids in neighbours.nearest(frame, 50, shard_rows=400, block_rows=9).groupBy("query_id").agg({"vec_id": "collect_set"}).collect():
+    for q, ids in neighbours.nearest(frame, 50, cell_rows=100, block_rows=9).groupBy("query_id").agg({"vec_id": "collect_set"}).collect():
         d = np.sqrt(((exact - exact[q]) ** 2).sum(axis=1))
         d[q] = np.inf
         hits += len(set(np.argsort(d, kind="stable")[:10].tolist()) & set(ids))
     assert hits >= 0.9 * 30 * 10
 
 
+def test_neighbours_stop_on_clusters(spark):
+    """Whole lists with most rows never verified; a cell of copies is dealt over tiles; query rows of one id have a list each."""
+    rng = np.random.default_rng(3)
+    centres = 4 * rng.standard_normal((25, 32))
+    points = centres[rng.integers(0, 25, 3000)] + rng.standard_normal((3000, 32))
+    points[2000:2600] = points[2000]
+    ids = np.arange(3000)
+    ids[3] = ids[7] = 0  # three query rows of one id
+    frame = spark.createDataFrame([(int(i), p.tolist()) for i, p in zip(ids, points)], "vec_id long, embedding array<double>")
+    got = neighbours.nearest(frame, 50, cell_rows=150, block_rows=5).collect()
+    lists = Counter(r.query_id for r in got)
+    assert lists[0] == 30 and all(n == 10 for q, n in lists.items() if q)
+    hits = total = 0
+    for q in range(50, 3000, 50):
+        d = np.sqrt(((points - points[q]) ** 2).sum(axis=1))
+        d[q] = np.inf
+        least = np.sort(d)[9]
+        found = sorted((r for r in got if r.query_id == q), key=lambda r: r.rank)
+        assert all(abs(r.score - d[r.vec_id]) < 1e-12 for r in found) and [r.score for r in found] == sorted(r.score for r in found)
+        hits += sum(r.score <= least + 1e-12 for r in found)
+        total += 10
+    assert hits >= 0.9 * total
+    cost = neighbours.search_cost(frame, 50, cell_rows=150, block_rows=5).agg({"verified": "sum"}).first()[0]
+    assert cost <= len(points) * 62 / 3, cost / (len(points) * 62)
+
+
 def test_chi_square_quantile():
     assert abs(neighbours.chi_square_quantile(0.95, 6) - 12.591587) < 1e-4
 
