@@ -1,6 +1,8 @@
 """One query per derived loan feature; the DuckDB text is spelled from the same rule."""
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from creditecho.catalog.loans import numeric_loans
 from creditecho.catalog.registry import Registry, rounded
 from creditecho.catalog.views import LOANS_NUM
@@ -51,9 +53,14 @@ def spell(rule) -> tuple[str, str]:
     return _flag(f"{rule.of} {rule.op} s.q"), f", (SELECT quantile_cont(CAST({rule.of} AS DOUBLE), {q}) AS q FROM num) s"
 
 
+def _is_rounded(rule) -> bool:
+    """Engines differ in the last digit of a logarithm."""
+    return isinstance(rule, X.Curve) and rule.name == "log1p"
+
+
 def _register(name: str, rule) -> None:
     text, stats = spell(rule)
-    curve = isinstance(rule, X.Curve) and rule.name == "log1p"
+    curve = _is_rounded(rule)
 
     @R.add(f"feat_{name}", f"WITH {LOANS_NUM} SELECT id, {f'round({text}, 6)' if curve else text} AS {name} FROM num{stats}")
     def _(spark, sf):
@@ -65,11 +72,22 @@ for _name, _rule in X.FEATURES.items():
     _register(_name, _rule)
 
 
-_ALL = {
-    n: spell(r)[0] for n, r in X.FEATURES.items() if not isinstance(r, (X.QuantileFlag, X.Curve))
-}
+def _whole() -> tuple[list[str], str]:
+    """Output columns of all features and the statistics that they read, each under a name of its own."""
+    columns, tables = [], []
+    for n, rule in X.FEATURES.items():
+        text, stats = spell(rule)
+        if stats:
+            text, stats = text.replace(" s.q", f" s{len(tables)}.q"), stats.replace(") s", f") s{len(tables)}")
+            tables.append(stats)
+        columns.append(f"{f'round({text}, 6)' if _is_rounded(rule) else text} AS {n}")
+    return columns, "".join(tables)
+
+
+_COLUMNS, _STATS = _whole()
 
 
-@R.add("engineer_features", f"WITH {LOANS_NUM} SELECT id, " + ", ".join(f"{t} AS {n}" for n, t in _ALL.items()) + " FROM num")
+@R.add("engineer_features", f"WITH {LOANS_NUM} SELECT id, {', '.join(_COLUMNS)} FROM num{_STATS}")
 def _(spark, sf):
-    return X.engineer_features(numeric_loans(spark, sf), list(_ALL)).select("id", *_ALL)
+    out = X.engineer_features(numeric_loans(spark, sf, True), list(X.FEATURES))
+    return out.select("id", *[(F.round(n, 6) + 0.0).alias(n) if _is_rounded(r) else F.col(n) for n, r in X.FEATURES.items()])

@@ -203,7 +203,7 @@ def _(spark, sf):
     return D.eda_summary_frame(stored_loans(spark, sf), NUMERIC, ["term", "emp_title"])
 
 
-_HIST = ["loan_amnt", "annual_inc", "open_acc", "tot_cur_bal"]
+_HIST = NUMERIC
 
 
 @R.add("hist_by_target", f"""WITH {LOANS}, u AS ({" UNION ALL ".join(f"SELECT '{c}' AS feature, default_flag, {c}::DOUBLE AS x FROM loans WHERE {c} IS NOT NULL" for c in _HIST)}),

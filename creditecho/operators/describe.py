@@ -1,6 +1,8 @@
 """Class-conditional statistics, correlations, outliers and histograms of the loan table."""
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -83,20 +85,32 @@ def categorical_by_target(df: DataFrame, feature: str, target: str = "default_fl
 
 
 def correlation_matrix(df: DataFrame, features=None, target: str | None = "default_flag") -> DataFrame:
-    """Every ordered pair (a, b, corr) over complete pairs; one pass for half the matrix.
-
-    A row becomes its pairs, which are aggregated in the same task: three sums per pair stay compiled,
-    where hundreds of side-by-side aggregates would not.
-    """
+    """Every ordered pair (a, b, corr) over complete pairs, from one scan: a task adds up one matrix of co-moments per batch, with masks
+    for missing values, and sends a row per pair once; these are merged per pair, so the order of rows does not matter beyond rounding."""
     names = _features(df, target or "", features) + ([target] if target in df.columns else [])
-    pairs = [(a, b) for i, a in enumerate(names) for b in names[i:]]
-    structs = [
-        F.struct(
-            F.lit(a).alias("a"), F.lit(b).alias("b"),
-            F.col(a).cast("double").alias("_x"), F.col(b).cast("double").alias("_y"),
-        ) for a, b in pairs
-    ]
-    half = df.select(F.inline(F.array(*structs))).groupBy("a", "b").agg(safe_corr(F.col("_x"), F.col("_y")).alias("corr"))
+    pairs = [(i, j) for i in range(len(names)) for j in range(i, len(names))]
+
+    def moments(batches):
+        total = None
+        for batch in batches:
+            x = np.column_stack([np.asarray(c.cast("double").to_numpy(zero_copy_only=False), float) for c in batch.columns])
+            total = merged(total, co_moments(x))
+        if total is not None:
+            rows = [(names[i], names[j], *(float(m[i, j]) for m in total)) for i, j in pairs]
+            yield pa.RecordBatch.from_pydict(dict(zip(MOMENTS, zip(*rows))))
+
+    def merge(table):
+        total = None
+        columns = [np.asarray(table.column(c)) for c in MOMENTS[2:]]
+        for part in zip(*columns):
+            total = merged(total, part)
+        n, _, _, xx, yy, xy = total
+        corr = float(xy / np.sqrt(xx * yy)) if n >= 2 and xx / n > 1e-24 and yy / n > 1e-24 else None
+        return pa.table({"a": table.column("a").slice(0, 1), "b": table.column("b").slice(0, 1), "corr": pa.array([corr], pa.float64())})
+
+    fields = ", ".join(f"{c} {'string' if c in 'ab' else 'double'}" for c in MOMENTS)
+    parts = df.select(*names).mapInArrow(moments, fields)
+    half = parts.groupBy("a", "b").applyInArrow(merge, "a string, b string, corr double")
     sides = F.array(
         F.struct(F.col("a").alias("a"), F.col("b").alias("b")),
         F.when(F.col("a") != F.col("b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b"))),
@@ -105,6 +119,32 @@ def correlation_matrix(df: DataFrame, features=None, target: str | None = "defau
     return both.select(F.col("_p.a").alias("a"), F.col("_p.b").alias("b"), "corr")
 
 
+MOMENTS = ("a", "b", "n", "mean_x", "mean_y", "xx", "yy", "xy")
+
+
+def co_moments(x: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(n, mean_x, mean_y, xx, yy, xy) as matrices over column pairs; each pair uses the rows where both are present."""
+    here = ~np.isnan(x)
+    mask = here.astype(float)
+    pivot = np.where(here.any(axis=0), np.nanmean(np.where(here.any(axis=0), x, 0), axis=0), 0)
+    d = np.where(here, x - pivot, 0)
+    n = mask.T @ mask
+    safe = np.maximum(n, 1)
+    sx, sxx = d.T @ mask, (d * d).T @ mask
+    mx, my = sx / safe, sx.T / safe
+    return n, mx + pivot[:, None], my + pivot[None, :], sxx - n * mx * mx, sxx.T - n * my * my, d.T @ d - n * mx * my
+
+
+def merged(a, b):
+    """Co-moments of two sets of rows together."""
+    if a is None:
+        return b
+    n = a[0] + b[0]
+    dx, dy, w = b[1] - a[1], b[2] - a[2], a[0] * b[0] / np.maximum(n, 1)
+    share = b[0] / np.maximum(n, 1)
+    return n, a[1] + dx * share, a[2] + dy * share, a[3] + b[3] + dx * dx * w, a[4] + b[4] + dy * dy * w, a[5] + b[5] + dx * dy * w
+
+
 def correlation_with_target(df: DataFrame, features=None, target: str = "default_flag") -> DataFrame:
     names = _features(df, target, features)
     y = F.col(target).cast("double")
