@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from creditecho.config import FEATURE_KINDS, PARAM_GRIDS, SEED
+from creditecho.operators import grid as G
 from creditecho.operators.encoders import class_weights
 from creditecho.operators.knn import knn_classify
 from creditecho.operators.metrics import auc_ks
@@ -170,16 +171,33 @@ def grid_search(
 ) -> tuple[list[dict], dict]:
     """Mean ROC-AUC per candidate over the ``fold`` column; returns all rows and the best one.
 
-    Preprocessing and balancing are fitted inside each fold, once for all candidates. A few candidates are
-    fitted at the same time; every fit is itself a distributed job.
+    Preprocessing and balancing are fitted inside each fold, once for all candidates. Logistic and neighbour candidates share their
+    passes over the data (``operators/grid``); of the trees a few are fitted at the same time, every fit a distributed job.
     """
     candidates = param_grid(grid or PARAM_GRIDS[name])
-    folds = sorted(r[0] for r in folded.select("fold").distinct().collect())
-    scores: dict[int, list[float]] = {i: [] for i in range(len(candidates))}
-    for fold in folds:
-        inside = folded.filter(F.col("fold") != fold).drop("fold")
+    prepare = lambda inside: _prepared(name, inside, target, key, balance, config)
+    scores: dict[int, list[float | None]] = {i: [] for i in range(len(candidates))}
+    if name in ("logistic_regression", "knn"):
+        train, held = G.stacks(folded, prepare, target, key)
+        found = G.logistic_scores(held, G.fit_logistic_grid(train, candidates)) if name != "knn" else G.knn_scores(train, held, candidates)
+        for i, _, auc in G.fold_scores(found):
+            scores[i].append(auc)
+    else:
+        for i, auc in _tree_scores(name, folded, candidates, prepare, target, key, parallelism):
+            scores[i].append(auc)
+    rows = []
+    for i, c in enumerate(candidates):
+        known = [s for s in scores[i] if s is not None]
+        rows.append({"model": name, "params": c, "mean_auc": sum(known) / len(known) if known else None, "folds": len(known)})
+    best = max((r for r in rows if r["mean_auc"] is not None), key=lambda r: r["mean_auc"])
+    return rows, best
+
+
+def _tree_scores(name, folded, candidates, prepare, target, key, parallelism):
+    """(candidate, ROC-AUC) for every candidate and fold."""
+    for fold in sorted(r[0] for r in folded.select("fold").distinct().collect()):
         outside = folded.filter(F.col("fold") == fold).drop("fold").withColumn("label", F.col(target).cast("int"))
-        pre, rows, weight = _prepared(name, inside, target, key, balance, config)
+        pre, rows, weight = prepare(folded.filter(F.col("fold") != fold).drop("fold"))
         held, n = checkpointed(pre.transform(outside, [key, "label"])), rows.count()
 
         def run(i, rows=rows, weight=weight, held=held, n=n):
@@ -188,14 +206,7 @@ def grid_search(
             return i, auc_ks(found, ["candidate"]).first()["roc_auc"]
 
         with ThreadPoolExecutor(parallelism) as pool:
-            for i, auc in pool.map(run, range(len(candidates))):
-                scores[i].append(auc)
-    rows = []
-    for i, c in enumerate(candidates):
-        known = [s for s in scores[i] if s is not None]
-        rows.append({"model": name, "params": c, "mean_auc": sum(known) / len(known) if known else None, "folds": len(known)})
-    best = max((r for r in rows if r["mean_auc"] is not None), key=lambda r: r["mean_auc"])
-    return rows, best
+            yield from pool.map(run, range(len(candidates)))
 
 
 def train_all(
