@@ -42,6 +42,7 @@ FAN = 8
 PACK_BYTES = 2 << 20
 MEMO_ENTRIES = 150_000
 QUICK_BYTES = 512
+PACKS_PER_TASK = 4
 SPACE_MARK = "▁"  # Fixed value: the mark that stands for a space in pieces
 Token = tuple[int, int]  # id, length in bytes that lie in the range or before it; see Fragment
 
@@ -473,7 +474,7 @@ def packed(docs: DataFrame, shared) -> DataFrame:
             nonlocal pack_id, size
             arrays = {"ids": np.array(ids, np.int64), **aligner.pack(texts)}
             sizes = np.array([len(arrays[n]) for n in ARRAYS], np.int64)
-            body = zstandard.ZstdCompressor(level=3).compress(b"".join(arrays[n].tobytes() for n in ARRAYS))
+            body = zstandard.ZstdCompressor(level=3).compress(b"".join(planes(arrays[n]) for n in ARRAYS))
             out = _batch([(pack_id, sizes.tobytes(), body)], PACK)
             pack_id, size = pack_id + 1, 0
             ids.clear()
@@ -493,12 +494,19 @@ def packed(docs: DataFrame, shared) -> DataFrame:
     return stored(docs.select("doc_id", "text").mapInArrow(run, PACK), "align-packs")
 
 
+def planes(x: np.ndarray) -> bytes:
+    """All lowest bytes, then all second ones, and so on: the upper bytes of small numbers compress away."""
+    return np.ascontiguousarray(x.view(np.uint8).reshape(len(x), x.dtype.itemsize).T).tobytes()
+
+
 def unpacked(row: dict) -> dict[str, np.ndarray]:
     data, at, out = zstandard.ZstdDecompressor().decompress(row["body"]), 0, {}
     for n, size in zip(ARRAYS, np.frombuffer(row["sizes"], np.int64).tolist()):
         kind = np.int64 if n == "ids" else np.int32
-        out[n] = np.frombuffer(data, kind, size, at)
-        at += size * np.dtype(kind).itemsize
+        width = np.dtype(kind).itemsize
+        wide = np.frombuffer(data, np.uint8, size * width, at).reshape(width, size)
+        out[n] = np.ascontiguousarray(wide.T).view(kind).ravel()
+        at += size * width
     return out
 
 
@@ -581,7 +589,9 @@ def align(docs: DataFrame, first: str, second: str, chunk_bytes: int = 64 << 10)
             at = np.searchsorted(codes, pair_codes(links))
             yield _batch([(row["doc_id"], n_a, n_b, n_groups, len(links), int(best[at].sum()), int(n[at].sum()), text)], OUT)
 
-    short = packs.join(replies, packs.pack_id == replies.pack, "left").drop("pack").mapInArrow(score, OUT)
+    # A few packs a task: packs are wide rows, and a task's rows lie in one Arrow batch.
+    tasks = max(1, packs.count() // PACKS_PER_TASK)
+    short = packs.repartition(tasks, "pack_id").join(replies, packs.pack_id == replies.pack, "left").drop("pack").mapInArrow(score, OUT)
     long_ = finals.join(replies, F.lit(-1) - finals.doc == replies.pack, "left").drop("pack").mapInArrow(score_long, OUT)
     return short.unionByName(long_)
 
