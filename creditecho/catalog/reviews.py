@@ -14,6 +14,7 @@ from creditecho.operators import cleaning as C
 from creditecho.operators import insights as I
 from creditecho.operators import sentiment as S
 from creditecho.operators import totals as O
+from creditecho.session import stored
 from creditecho.sources import readers, sinks
 from creditecho.sources.tables import doc_vectors, raw_reviews, reviews, table
 
@@ -380,23 +381,20 @@ def _(spark, sf):
     return rounded(computed_sentiment(spark, sf))
 
 
-@R.add("full_scan", f"""WITH {REVIEWS}, {_LEX} SELECT sentiment_label, count(*) AS n, round(count(*)::DOUBLE/sum(count(*)) OVER (),6) AS share,
-  round(avg(sentiment_score),6) AS mean_score, round(stddev_pop(sentiment_score),6) AS std_score FROM computed WHERE sentiment_label IS NOT NULL GROUP BY sentiment_label""")
+@R.add("full_scan", f"""WITH {REVIEWS}, {_LEX}, told AS (SELECT * FROM computed WHERE sentiment_label IS NOT NULL)
+SELECT coalesce(sentiment_label, 'all') AS sentiment_label, count(*) AS n, round(count(*)::DOUBLE/(SELECT count(*) FROM told),6) AS share,
+  round(avg(sentiment_score),6) AS mean_score, round(stddev_pop(sentiment_score),6) AS std_score FROM told GROUP BY GROUPING SETS ((sentiment_label), ())""")
 def _(spark, sf):
-    folder = sinks.work_folder(spark, "full-scan")
-    computed_sentiment(spark, sf).write.parquet(folder)
-    stored = spark.read.parquet(folder)
-    spread = stored.groupBy("sentiment_label").agg(
-        F.avg("sentiment_score").alias("mean_score"), F.stddev_pop("sentiment_score").alias("std_score")
-    )
-    return rounded(S.label_distribution(stored).join(spread, "sentiment_label"))
+    return rounded(S.scan_summary(stored(computed_sentiment(spark, sf), "full-scan")))
 
 
 @R.add("sentiment_prefer_precomputed", f"""WITH {REVIEWS}, {_LEX} SELECT r.id, coalesce(r.sentiment_label, c.sentiment_label) AS sentiment_label,
   round(coalesce(r.sentiment_score, c.sentiment_score),6) AS sentiment_score FROM reviews r JOIN computed c ON r.id=c.id""")
 def _(spark, sf):
-    stored = reviews(spark, sf).select("id", "sentiment_label", "sentiment_score")
-    return rounded(S.prefer_stored(stored, computed_sentiment(spark, sf)))
+    rows = reviews(spark, sf)
+    known = rows.select("id", "sentiment_label", "sentiment_score")
+    open_ = rows.filter("sentiment_label IS NULL OR sentiment_score IS NULL")  # only these are scored
+    return rounded(S.prefer_stored(known, S.lexicon_sentiment(open_, lexicon(spark, sf))))
 
 
 # ----------------------------------------------------------------- vectors

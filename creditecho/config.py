@@ -33,6 +33,7 @@ FEATURE_KINDS = {
     "low_cardinality_nominal": ("term",),
     "high_cardinality_nominal": ("emp_title",),
 }
+# Chosen derived features and the columns of their quantiles.
 DEFAULT_SELECTED = ("DTI", "Credit_Utilization", "Payment_to_Income_Ratio", "Average_Credit_Line_Size", "lti")
 NOTEBOOK_SELECTED = (
     "partial_payment", "net_worth_estimate", "high_income", "income_squared", "annual_inc", "income_per_month",
@@ -57,6 +58,7 @@ PARAM_GRIDS = {
     },
 }
 MODEL_NAMES = tuple(PARAM_GRIDS)
+# Share of test rows, seed and number of folds.
 TEST_SHARE = 0.2
 SEED = 42
 FOLDS = 5

@@ -160,3 +160,12 @@ def label_distribution(df: DataFrame, by: list[str] = (), column: str = "sentime
     counts = df.filter(F.col(column).isNotNull()).groupBy(*by, column).agg(F.count("*").alias("n"))
     w = W.partitionBy(*by) if by else W.partitionBy(F.lit(0))  # one row per label
     return counts.withColumn("share", share(F.col("n"), F.sum("n").over(w)))
+
+
+def scan_summary(df: DataFrame, label: str = "sentiment_label", score: str = "sentiment_score") -> DataFrame:
+    """Counts, shares, mean and population deviation per label and, as label ``all``, over every row with a label; one scan."""
+    told = df.filter(F.col(label).isNotNull()).rollup(label).agg(
+        F.count("*").alias("n"), F.avg(score).alias("mean_score"), F.stddev_pop(score).alias("std_score"), F.grouping(label).alias("_all"),
+    ).filter((F.col("_all") == 0) | (F.col("n") > 0))
+    total = F.max("n").over(W.partitionBy(F.lit(0)))  # one row per label
+    return told.select(F.when(F.col("_all") == 1, "all").otherwise(F.col(label)).alias(label), "n", share(F.col("n"), total).alias("share"), "mean_score", "std_score")
