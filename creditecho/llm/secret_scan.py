@@ -2,12 +2,14 @@
 
 Rules are regular expressions of literals, classes, repeats, groups and alternatives. Each is turned into a nondeterministic automaton,
 all together into one deterministic one by subset construction over byte classes, minimised by partition refinement, and stored as a
-transition array. A batch of texts is one byte buffer; the automaton passes over it once for all rules, in many lanes side by side:
-each lane starts in the root state, and lanes whose true start state turns out to differ are passed again from it until both agree.
+transition array. The combined automaton is that of the reversed rules: it passes once over a batch of texts, joined into one byte buffer,
+from the last byte to the first, and so marks, for all rules at once, every byte where a match begins. The pass runs in many lanes side by
+side: each lane starts in the root state, and lanes whose true start state turns out to differ are passed again from it.
 
-The combined automaton only tells which documents hold an end of which rule. Spans are leftmost, longest and non-overlapping within a kind; they
-are read off the same rule's own anchored automaton in the few documents that were told. A rule has a pattern for the match and a
-least length of its last part; matches that fail the length are dropped after they have used up their text, as the rule says.
+Spans are leftmost, longest and non-overlapping within a kind. From the first mark that no earlier match covers, the rule's own anchored
+automaton reads on to the end of the longest match. A pair of place and state that led to no longer match is remembered, so no byte is read
+twice in one state and the whole scan takes time in proportion to the bytes. A rule has a pattern for the match and a least length of its
+last part; matches that fail the length are dropped after they have used up their text, as the rule says.
 
 Kinds ``assign``, ``access`` and ``hex`` are the base rules; the others find key headers and tokens with a known beginning.
 
@@ -18,7 +20,7 @@ from __future__ import annotations
 
 import re._constants as sre
 import re._parser as sre_parser
-from collections import defaultdict
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,6 +30,8 @@ from pyspark.sql import DataFrame
 from creditecho.llm.textbatch import groups
 
 LANE = 1024
+ROUNDS = 3  # of all lanes with a wrong start side by side; what is left is passed one by one, each lane once
+EDGE = b"\xff"  # between documents: no UTF-8 text holds it and no rule reads it
 
 
 def _any_case(word: str) -> str:
@@ -64,9 +68,10 @@ RULES = BASE + MORE
 
 
 class Nfa:
-    """Thompson construction; edges carry byte sets, None is the empty move."""
+    """Thompson construction; edges carry byte sets, None is the empty move. ``backward`` reads the pattern from its last item to its first."""
 
-    def __init__(self) -> None:
+    def __init__(self, backward: bool = False) -> None:
+        self.backward = backward
         self.edges: list[list[tuple[frozenset[int] | None, int]]] = []
 
     def state(self) -> int:
@@ -85,7 +90,7 @@ class Nfa:
         return frozenset(out)
 
     def add(self, tree, start: int) -> int:
-        for op, arg in tree:
+        for op, arg in reversed(list(tree)) if self.backward else tree:
             if op is sre.LITERAL:
                 start = self._step(start, frozenset([arg]))
             elif op is sre.IN:
@@ -135,8 +140,8 @@ class Nfa:
 class Dfa:
     """``step[state, byte class]`` and ``accepts[state]``, a bit per rule. State 0 is the start."""
 
-    def __init__(self, patterns: list[str], searching: bool):
-        nfa, ends = Nfa(), {}
+    def __init__(self, patterns: list[str], searching: bool, backward: bool = False):
+        nfa, ends = Nfa(backward), {}
         root = nfa.state()
         for i, p in enumerate(patterns):
             ends[nfa.add(sre_parser.parse(p), root)] = 1 << i
@@ -178,118 +183,138 @@ class Dfa:
         return part[step[one]].astype(np.int32), accepts[one]
 
 
+class Walk:
+    """One rule's anchored automaton in plain lists, for the few bytes that matches hold."""
+
+    def __init__(self, pattern: str):
+        dfa = Dfa([pattern], False)
+        self.classes, self.width = dfa.classes.tobytes(), dfa.step.shape[1]
+        self.step, self.final = dfa.step.ravel().tolist(), [bool(a) for a in dfa.accepts]
+        n, width = len(self.final), self.width
+        self.dead = [not self.final[s] and all(t == s for t in self.step[s * width: (s + 1) * width]) for s in range(n)]
+
+    def longest(self, data: bytes, start: int, stop: int, failed: set[int] | None = None) -> int:
+        """End of the longest match from ``start``, at most ``stop``; -1 without one. ``data`` holds byte classes."""
+        step, width, final, dead = self.step, self.width, self.final, self.dead
+        state, end, behind = 0, start if final[0] else -1, []
+        for i in range(start, stop):
+            state = step[state * width + data[i]]
+            if dead[state]:
+                break
+            if final[state]:
+                end = i + 1
+                behind.clear()
+            elif failed is not None:
+                mark = i * len(final) + state
+                if mark in failed:
+                    break
+                behind.append(mark)
+        if failed is not None:
+            failed.update(behind)
+        return end
+
+
 class Scanner:
-    """The combined searching automaton, and per rule an anchored automaton of the whole pattern and of its head."""
+    """The combined automaton of the reversed rules, and per rule an anchored automaton of the whole pattern and of its head."""
 
     def __init__(self, rules: tuple[Rule, ...] = RULES):
         self.rules = rules
-        self.search = Dfa([r.told for r in rules], True)
-        self.whole = [Dfa([r.pattern], False) for r in rules]
-        self.heads = [Dfa([r.head], False) if r.head else None for r in rules]
+        self.begins = Dfa([r.told for r in rules], True, True)
+        self.whole = [Walk(r.pattern) for r in rules]
+        self.heads = [Walk(r.head) if r.head else None for r in rules]
 
     def spans(self, parts: list[bytes]) -> list[list[tuple[str, int, int]]]:
         """Per document (kind, start, end) in code points, ordered by start, then kind as listed."""
-        ends = np.cumsum([len(p) + 1 for p in parts]) - 1
-        places, bits = told(np.frombuffer(b"\n".join([*parts, b""]), np.uint8), self.search)
-        wanted: dict[int, int] = defaultdict(int)
-        for d, b in zip(np.searchsorted(ends, places).tolist(), bits.tolist()):
-            wanted[d] |= b
+        data = EDGE.join([*parts, b""])
+        places, bits = marks(np.frombuffer(data, np.uint8), self.begins)
+        found: list[tuple[int, int, int]] = []
+        for k in range(len(self.rules)):
+            at = places[bits >> k & 1 == 1].tolist()
+            found += [(s, k, e) for s, e in self._kept(data, k, at)] if at else []
         out: list[list[tuple[str, int, int]]] = [[] for _ in parts]
-        for d, b in wanted.items():
-            found = []
-            for k, rule in enumerate(self.rules):
-                if b >> k & 1:
-                    found += [(s, k, e) for s, e in rule_spans(parts[d], rule, self.whole[k], self.heads[k])]
-            at = np.concatenate([[0], np.cumsum((np.frombuffer(parts[d], np.uint8) & 0xC0) != 0x80)])
-            out[d] = [(self.rules[k].kind, int(at[s]), int(at[e])) for s, k, e in sorted(found)]
+        first = np.concatenate([[0], np.cumsum([len(p) + 1 for p in parts])]).astype(np.int64)
+        held, base, points = -1, 0, np.zeros(1, np.int64)
+        for s, k, e in sorted(found):
+            if held < 0 or s >= first[held + 1]:
+                held = int(np.searchsorted(first, s, side="right")) - 1
+                base = int(first[held])
+                points = np.concatenate([[0], np.cumsum((np.frombuffer(parts[held], np.uint8) & 0xC0) != 0x80)])
+            out[held].append((self.rules[k].kind, int(points[s - base]), int(points[e - base])))
         return out
 
-
-def told(buf: np.ndarray, dfa: Dfa) -> tuple[np.ndarray, np.ndarray]:
-    """(places, rule bits) where a match of some rule ends, from one pass over the bytes in lanes."""
+    def _kept(self, data: bytes, k: int, at: list[int]) -> Iterator[tuple[int, int]]:
+        """Kept matches of one rule, as byte places, from the sorted places where its matches begin.
+
+        No optional part of a head can also be read as body, so the longest head before the body is the one that the pattern takes.
+        """
+        whole, head, least = self.whole[k], self.heads[k], self.rules[k].least
+        classes, failed, i = data.translate(whole.classes), set(), 0
+        head_classes = data.translate(head.classes) if head else b""
+        while i < len(at):
+            start = at[i]
+            end = whole.longest(classes, start, len(classes), failed)
+            body = head.longest(head_classes, start, end) if head else start
+            if end - body >= least:
+                yield start, end
+            i = bisect_left(at, max(end, start + 1), i)
+
+
+def marks(buf: np.ndarray, dfa: Dfa) -> tuple[np.ndarray, np.ndarray]:
+    """(places, rule bits) where a match of some rule begins, in rising order, from one pass over the bytes from last to first."""
     n = len(buf)
     lanes = -(-n // LANE)
-    wide = np.zeros(lanes * LANE, np.uint8)
-    wide[:n] = dfa.classes[buf]
+    wide = np.full(lanes * LANE, dfa.classes[EDGE[0]], np.uint8)
+    wide[:n] = dfa.classes[buf[::-1]]
     wide = np.ascontiguousarray(wide.reshape(lanes, LANE).T)
     width = dfa.step.shape[1]
     flat, hits = dfa.step.ravel() * width, dfa.accepts.astype(np.int64)
-    seen: dict[int, np.ndarray] = {}
+    notes: list[tuple[np.ndarray, np.ndarray, np.ndarray, int]] = []  # lane, place in reading order, bits, round
+    last = np.zeros(lanes, np.int64)  # the round that counts, per lane
 
-    def run(lane: np.ndarray, state: np.ndarray, note: dict[int, list]) -> np.ndarray:
+    def run(lane: np.ndarray, state: np.ndarray, turn: int) -> np.ndarray:
+        last[lane] = turn
         for i in range(LANE):
             state = flat[state + wide[i, lane]]
             bits = hits[state // width]
             if bits.any():
                 at = np.flatnonzero(bits)
-                note[i] = [lane[at], bits[at]]
+                notes.append((lane[at], lane[at] * LANE + i, bits[at], turn))
         return state
 
-    lane = np.arange(lanes)
     begin = np.zeros(lanes, np.int64)
-    note: dict[int, list] = {}
-    end = run(lane, begin.copy(), note)
-    found = defaultdict(list)
-    for i, (ls, bits) in note.items():
-        for la, b in zip(ls.tolist(), bits.tolist()):
-            found[la].append((i, b))
-    while True:  # lanes whose true start state is not the one they were passed from
+    end = run(np.arange(lanes), begin, 0)
+    wrong, turn = np.zeros(0, np.int64), 0
+    while lanes:  # lanes whose true start state is not the one they were passed from
         want = np.concatenate([[0], end[:-1]])
         wrong = np.flatnonzero(want != begin)
-        if not len(wrong):
+        if not len(wrong) or turn == ROUNDS:
             break
+        turn += 1
         begin[wrong] = want[wrong]
-        note = {}
-        end[wrong] = run(wrong, want[wrong], note)
-        for la in wrong.tolist():
-            found.pop(la, None)
-        for i, (ls, bits) in note.items():
-            for la, b in zip(ls.tolist(), bits.tolist()):
-                found[la].append((i, b))
-    rows = [(la * LANE + i, b) for la, items in found.items() for i, b in items if la * LANE + i < n]
-    places = np.array([r[0] for r in rows], np.int64)
-    return places, np.array([r[1] for r in rows], np.int64)
-
-
-def longest(classes: bytes, start: int, step: list[int], width: int, final: list[bool], dead: list[bool]) -> int:
-    """End of the longest match that begins at ``start``; -1 without one."""
-    state, i, end = 0, start, start if final[0] else -1
-    while i < len(classes):
-        state = step[state * width + classes[i]]
-        if dead[state]:
-            break
-        i += 1
-        if final[state]:
-            end = i
-    return end
-
-
-def _walk(data: bytes, dfa: Dfa) -> tuple:
-    width = dfa.step.shape[1]
-    step, final = dfa.step.ravel().tolist(), [bool(a) for a in dfa.accepts]
-    dead = [not final[s] and all(t == s for t in step[s * width: (s + 1) * width]) for s in range(len(final))]
-    return data.translate(dfa.classes.tobytes()), step, width, final, dead
-
-
-def rule_spans(data: bytes, rule: Rule, whole: Dfa, head: Dfa | None) -> list[tuple[int, int]]:
-    """Kept matches of one rule in one document: leftmost, longest, not overlapping; byte places.
-
-    No optional part of a head can also be read as body, so the longest head before the body is the one that the pattern takes.
-    """
-    classes, step, width, final, dead = _walk(data, whole)
-    head_walk = _walk(data, head) if head else None
-    opens = np.array([not dead[step[c]] for c in range(width)])[whole.classes]
-    out, free = [], 0
-    for at in np.flatnonzero(opens[np.frombuffer(data, np.uint8)]).tolist():
-        if at < free:
-            continue
-        end = longest(classes, at, step, width, final, dead)
-        if end >= 0:
-            free = end
-            body = longest(head_walk[0], at, *head_walk[1:]) if head_walk else at
-            if end - body >= rule.least:
-                out.append((at, end))
-    return out
+        end[wrong] = run(wrong, want[wrong], turn)
+    if len(wrong):  # a state that lasts over many lanes: from here on each lane is passed at most once more, in order
+        steps, accepts = flat.tolist(), hits.tolist()
+        for la in range(int(wrong[0]), lanes):
+            state = int(end[la - 1])
+            if state == begin[la]:
+                continue
+            last[la], found, told = turn + 1, [], []
+            for i, c in enumerate(wide[:, la].tolist()):
+                state = steps[state + c]
+                if accepts[state // width]:
+                    found.append(la * LANE + i)
+                    told.append(accepts[state // width])
+            end[la] = state
+            if found:
+                notes.append((np.full(len(found), la), np.array(found), np.array(told), turn + 1))
+    if not notes:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    lane, place, bits = (np.concatenate([x[j] for x in notes]) for j in range(3))
+    counts = np.repeat([x[3] for x in notes], [len(x[0]) for x in notes]) == last[lane]
+    place, bits = n - 1 - place[counts], bits[counts]
+    inside = place >= 0
+    order = np.argsort(place[inside])
+    return place[inside][order], bits[inside][order]
 
 
 def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
