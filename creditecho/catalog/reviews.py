@@ -312,7 +312,7 @@ def _(spark, sf):
 SELECT title, round(avg(CASE WHEN k='n' THEN 1.0::DOUBLE ELSE 0 END) FILTER (WHERE score <= 2 AND k IS NOT NULL),6) AS rate_negative_for_score_le_2,
   round(avg(CASE WHEN k='p' THEN 1.0::DOUBLE ELSE 0 END) FILTER (WHERE score >= 3 AND k IS NOT NULL),6) AS rate_positive_for_score_ge_3 FROM c GROUP BY title""")
 def _(spark, sf):
-    out = S.sentiment_summary(reviews(spark, sf), ["title"])
+    out = S.sentiment_rates(reviews(spark, sf), ["title"])
     return rounded(out.select("title", "rate_negative_for_score_le_2", "rate_positive_for_score_ge_3"))
 
 

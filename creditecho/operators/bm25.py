@@ -15,11 +15,6 @@ def fixed_sum(x: Column) -> Column:
     return F.sum(F.round(x * F.lit(SCALE)).cast("long")) / F.lit(SCALE)
 
 
-def wide_sum(x: Column) -> Column:
-    """The same for sums over any number of rows: decimals hold totals up to 1e28."""
-    return F.sum(x.cast("decimal(28,10)")).cast("double")
-
-
 def tokenized(docs: DataFrame, key: str, text: str) -> DataFrame:
     """(doc_id, words): one row per document."""
     return docs.select(F.col(key).alias("doc_id"), tokens(F.col(text)).alias("words"))

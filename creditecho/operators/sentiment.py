@@ -8,11 +8,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from creditecho.functions.numeric import safe_corr, share
+from creditecho.functions.numeric import share
 from creditecho.functions.text import tokens
-from creditecho.operators.bm25 import fixed_sum, wide_sum
+from creditecho.operators.bm25 import fixed_sum
 from creditecho.operators.joins import lookup_join
-from creditecho.operators.totals import average_ranks, exact_quantiles
+from creditecho.operators.totals import average_ranks, null_safe_join, running_totals
+from creditecho.session import stored
 
 LABELS = ("negative", "positive", "neutral")
 
@@ -125,33 +126,96 @@ def spearman(df: DataFrame, by: list[str], x: str, y: str) -> DataFrame:
     return sums.select(*by, F.try_divide(F.col("_ab"), F.sqrt("_aa") * F.sqrt("_bb")).alias("spearman"))
 
 
-def sentiment_summary(
-    results: DataFrame, by: list[str] = ("query_id",), null_as_neutral: bool = False, few_groups: bool = False
-) -> DataFrame:
-    """All sentiment metrics of each result set, one row per group."""
-    by = list(by)
-    s, label, score = F.col("sentiment_score"), F.col("sentiment_label"), F.col("score")
+def contingency(results: DataFrame, by: list[str]) -> DataFrame:
+    """(by..., score, label, sentiment, n): how often each combination occurs in a group. Counting starts in the tasks that read the
+    rows, so a hot group or value arrives as few rows."""
+    names = {"score": "score", "sentiment_label": "label", "sentiment_score": "sentiment"}
+    return results.groupBy(*by, *[F.col(c).alias(n) for c, n in names.items()]).agg(F.count("*").alias("n"))
+
+
+def _of(n: Column, condition: Column) -> Column:
+    """Rows counted by ``n`` for which the condition holds."""
+    return F.coalesce(F.sum(F.when(condition, n)), F.lit(0))
+
+
+def _plain_metrics(cells: DataFrame, by: list[str], null_as_neutral: bool) -> DataFrame:
+    """Counts, means, shares and rates of each group of a contingency table, and the means over complete pairs."""
+    n, s, x, label = F.col("n"), F.col("sentiment"), mapped_score(F.col("score")), F.col("label")
     cls = sentiment_class(s, null_as_neutral)
-    x = mapped_score(score)
-    main = results.groupBy(*by).agg(
-        F.count("*").alias("count"),
-        F.try_divide(wide_sum(s), F.count(s)).alias("sentiment_mean"),
-        F.stddev_samp(s).alias("sentiment_std"),
-        *[share(F.count_if(label == k), F.count(label)).alias(f"class_ratio_{k}") for k in LABELS],
-        safe_corr(x, s).alias("corr_pearson_score_vs_sentiment"),
-        share(
-            F.count_if((score <= 2) & (cls == "negative")), F.count_if((score <= 2) & cls.isNotNull())
-        ).alias("rate_negative_for_score_le_2"),
-        share(
-            F.count_if((score >= 3) & (cls == "positive")), F.count_if((score >= 3) & cls.isNotNull())
-        ).alias("rate_positive_for_score_ge_3"),
+    known, pair = s.isNotNull(), s.isNotNull() & F.col("score").isNotNull()
+    low, high = F.col("score") <= 2, F.col("score") >= 3
+    total = F.sum(s.cast("decimal(19,10)") * n.cast("decimal(18,0)")).cast("double")  # up to 1e28, in any order of rows
+    return cells.groupBy(*by).agg(
+        F.sum("n").alias("count"),
+        F.try_divide(total, F.sum(F.when(known, n))).alias("sentiment_mean"),
+        *[share(_of(n, label == k), F.sum(F.when(label.isNotNull(), n))).alias(f"class_ratio_{k}") for k in LABELS],
+        share(_of(n, low & (cls == "negative")), F.sum(F.when(low & cls.isNotNull(), n))).alias("rate_negative_for_score_le_2"),
+        share(_of(n, high & (cls == "positive")), F.sum(F.when(high & cls.isNotNull(), n))).alias("rate_positive_for_score_ge_3"),
+        _of(n, known).alias("_known"),
+        F.try_divide(F.sum(F.when(pair, n * x)), _of(n, pair)).alias("_mx"),
+        F.try_divide(F.sum(F.when(pair, n * s)), _of(n, pair)).alias("_my"),
     )
-    medians = exact_quantiles(results, ["sentiment_score"], [0.5], by, few_groups=few_groups)
-    medians = medians.select(*by, F.get("q", F.lit(0)).alias("sentiment_median"))
-    ranks = spearman(results, by, "score", "sentiment_score").withColumnRenamed(
-        "spearman", "corr_spearman_score_vs_sentiment"
+
+
+def sentiment_rates(results: DataFrame, by: list[str] = ("query_id",), null_as_neutral: bool = False) -> DataFrame:
+    """The metrics that need no order: one scan and one grouping of the counted rows."""
+    return _plain_metrics(contingency(results, list(by)), list(by), null_as_neutral).drop("_known", "_mx", "_my")
+
+
+def sentiment_summary(results: DataFrame, by: list[str] = ("query_id",), null_as_neutral: bool = False) -> DataFrame:
+    """All sentiment metrics of each result set, one row per group.
+
+    The rows are read once, into a contingency table that is written to the shared folder. Mean, deviation, shares, rates, median and both
+    correlations come from it: running totals over the sentiments of a group give its median and the ranks of one side, those over its
+    scores the ranks of the other. A group without sentiment has NULL metrics, one without spread NULL correlations; groups may be NULL.
+    """
+    by = list(by)
+    cells = stored(contingency(results, by), "sentiment-counts")
+    n, pair = F.col("n"), F.col("score").isNotNull() & F.col("sentiment").isNotNull()
+    plain = _plain_metrics(cells, by, null_as_neutral)
+    flat = cells.groupBy(*by, "score", "sentiment").agg(F.sum("n").alias("n"))
+
+    sides = cells.filter(F.col("sentiment").isNotNull()).groupBy(*by, "sentiment").agg(
+        F.sum("n").alias("a"), _of(n, F.col("score").isNotNull()).alias("p")
+    )
+    sides = running_totals(sides, by, "sentiment", ["a", "p"])
+    place = (F.col("a_total") - 1) / 2
+    holds = lambda at: at.between(F.col("a_before"), F.col("a_before") + F.col("a") - 1)
+    low, high = (F.max(F.when(holds(at), F.col("sentiment"))) for at in (F.floor(place), F.ceil(place)))
+    medians = sides.groupBy(*by).agg(F.when(low == high, low).otherwise((low + high) / 2).alias("sentiment_median"))
+    ranks_y = sides.filter("p > 0").select(
+        *by, "sentiment", (F.col("p_before") + (F.col("p") + 1) / 2 - (F.col("p_total") + 1) / 2).alias("_ry")
+    )
+    scores = running_totals(cells.filter(pair).groupBy(*by, "score").agg(F.sum("n").alias("p")), by, "score", ["p"])
+    ranks_x = scores.select(*by, "score", (F.col("p_before") + (F.col("p") + 1) / 2 - (F.col("p_total") + 1) / 2).alias("_rx"))
+
+    joined = null_safe_join(flat.filter(F.col("sentiment").isNotNull()), plain.select(*by, "sentiment_mean", "_known", "_mx", "_my"), by)
+    joined = null_safe_join(joined, ranks_y, [*by, "sentiment"], "left")
+    joined = null_safe_join(joined, ranks_x, [*by, "score"], "left")
+    only = F.when(pair, n)
+    dx, dy = mapped_score(F.col("score")) - F.col("_mx"), F.col("sentiment") - F.col("_my")
+    rx, ry = F.col("_rx"), F.col("_ry")
+    off = F.col("sentiment") - F.col("sentiment_mean")
+    sums = joined.groupBy(*by).agg(
+        F.sum(n * off * off).alias("_ss"), F.max("_known").alias("_k"), F.sum(only).alias("_pairs"),
+        *[F.sum(only * a * b).alias(c) for a, b, c in ((dx, dy, "_xy"), (dx, dx, "_xx"), (dy, dy, "_yy"), (rx, ry, "_ab"), (rx, rx, "_aa"), (ry, ry, "_bb"))],
+    )
+
+    def correlation(ab: str, aa: str, bb: str) -> Column:
+        spread = F.least(F.sqrt(F.try_divide(F.col(aa), F.col("_pairs"))), F.sqrt(F.try_divide(F.col(bb), F.col("_pairs"))))
+        return F.when(spread > 1e-12, F.try_divide(F.col(ab), F.sqrt(aa) * F.sqrt(bb)))
+
+    spread = sums.select(
+        *by, F.when(F.col("_k") > 1, F.sqrt(F.try_divide(F.col("_ss"), F.col("_k") - 1))).alias("sentiment_std"),
+        correlation("_xy", "_xx", "_yy").alias("corr_pearson_score_vs_sentiment"),
+        correlation("_ab", "_aa", "_bb").alias("corr_spearman_score_vs_sentiment"),
     )
-    return main.join(medians, by, "left").join(ranks, by, "left")
+    out = null_safe_join(null_safe_join(plain.drop("_known", "_mx", "_my"), medians, by, "left"), spread, by, "left")
+    order = [
+        "count", "sentiment_mean", "sentiment_std", *[f"class_ratio_{k}" for k in LABELS], "corr_pearson_score_vs_sentiment",
+        "rate_negative_for_score_le_2", "rate_positive_for_score_ge_3", "sentiment_median", "corr_spearman_score_vs_sentiment",
+    ]
+    return out.select(*by, *order)
 
 
 def label_distribution(df: DataFrame, by: list[str] = (), column: str = "sentiment_label") -> DataFrame:

@@ -73,14 +73,15 @@ def running_totals(df: DataFrame, by: list[str], order: str, sums: list[str], de
         *[F.sum(f"_r_{s}").over(w).alias(f"{s}_total") for s in sums],
     )
     within = W.partitionBy(*part).orderBy("_key").rowsBetween(W.unboundedPreceding, -1)
-    joined = _null_safe_join(ranged, offsets, part)
+    joined = null_safe_join(ranged, offsets, part)
     before = {
         f"{s}_before": F.col(f"_o_{s}") + F.coalesce(F.sum(s).over(within), F.lit(0)) for s in sums
     }
     return joined.withColumns(before).drop("_key", "_range", *[f"_o_{s}" for s in sums])
 
 
-def _null_safe_join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Joins on keys that may be NULL; the keys of the right side are dropped."""
     renamed = right
     for k in keys:
         renamed = renamed.withColumnRenamed(k, f"_k_{k}")
@@ -88,7 +89,7 @@ def _null_safe_join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataF
     for k in keys:
         test = left[k].eqNullSafe(renamed[f"_k_{k}"])
         condition = test if condition is None else condition & test
-    return left.join(renamed, condition).drop(*[f"_k_{k}" for k in keys])
+    return left.join(renamed, condition, how).drop(*[f"_k_{k}" for k in keys])
 
 
 def unpivoted(df: DataFrame, columns: list[str], by: list[str] = ()) -> DataFrame:
@@ -130,7 +131,7 @@ def exact_quantiles(
     wanted = per_range.filter(hits(F.col("_before"), F.col("_before") + F.col("_n") - 1)).drop("_n")
     if few_groups:
         wanted = F.broadcast(wanted)
-    rows = _null_safe_join(ranged, wanted, group + ["_range"])
+    rows = null_safe_join(ranged, wanted, group + ["_range"])
     counts = rows.groupBy(*group, "_range", "_total", "_before", "value").agg(F.count("*").alias("_n"))
     inside = W.partitionBy(*group, "_range").orderBy("value").rowsBetween(W.unboundedPreceding, -1)
     first = F.col("_before") + F.coalesce(F.sum("_n").over(inside), F.lit(0))
@@ -188,7 +189,7 @@ def ranked(df: DataFrame, by: list[str], score: str, tie: str, name: str = "rank
     w = W.partitionBy(*by) if by else W.partitionBy(F.lit(0))
     earlier = w.orderBy("_r1", "_r2").rowsBetween(W.unboundedPreceding, -1)
     offsets = per_range.select(*part, F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_o"))
-    joined = _null_safe_join(keyed, offsets, part)
+    joined = null_safe_join(keyed, offsets, part)
     inside = F.row_number().over(W.partitionBy(*part).orderBy("_key", tie))
     return joined.withColumn(name, (F.col("_o") + inside).cast("long")).drop("_key", "_r1", "_r2", "_o")
 

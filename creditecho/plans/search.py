@@ -106,10 +106,8 @@ def search_hybrid(
 
 
 def summarize(results: DataFrame, by: list[str] = ("query_id",)) -> DataFrame:
-    """Sentiment metrics per result set. Medians and ranks read the results repeatedly, so the four columns
-    they need are written to the shared folder once."""
-    by = list(by)
-    return sentiment_summary(stored(results.select(*by, "score", "sentiment_label", "sentiment_score"), "results"), by)
+    """Sentiment metrics per result set; the results are read once."""
+    return sentiment_summary(results, list(by))
 
 
 def evaluate_queries(
