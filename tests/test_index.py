@@ -80,3 +80,42 @@ def test_empty_and_odd_corpora(spark, tmp_path):
     one = index_store.build(spark.createDataFrame(rows_of(["same words"] * 50), SCHEMA), str(tmp_path / "o"))
     got = StoredIndex(spark, str(tmp_path / "o")).top_documents(queries(spark, ["words"]), 3)
     assert got.count() == one.top_documents(queries(spark, ["words"]), 3).count()
+
+
+def test_a_key_with_texts_of_several_lengths_is_one_document(spark, tmp_path):
+    rng = random.Random(8)
+    texts = [" ".join(rng.choices([f"w{i}" for i in range(60)], k=rng.choice([2, 9, 30, 90]))) for _ in range(1200)]
+    rows = [(i % 700 if i < 1190 else None, 3.0, "t", t, None, None, None) for i, t in enumerate(texts)]
+    index = index_store.build(spark.createDataFrame(rows, SCHEMA), str(tmp_path / "r"), range_docs=16)
+    asked = queries(spark, ["w1 w2 w3", "w59", "w7 w7 w30 w31"])
+    full = index.scores(asked)
+    assert full.count() == full.select("query_id", "doc_id").distinct().count()
+    want = index.top_documents(asked).filter("rank <= 7")
+    assert sorted(map(str, index.top_documents(asked, 7).select("query_id", "rank", "doc_id", "bm25").collect())) == \
+        sorted(map(str, want.select("query_id", "rank", "doc_id", "bm25").collect()))
+
+
+def test_blocks_are_made_without_a_row_per_word(spark, texts, capsys):
+    from pyspark.sql import functions as F
+
+    words = spark.createDataFrame(list(enumerate(texts[:200])), "doc_id long, text string").withColumn("words", index_store.tokens(F.col("text")))
+    placed = words.select("doc_id", "words", F.size("words").alias("dl"), (F.col("doc_id") % 3).alias("rng"))
+    blocks = index_store.word_blocks(placed, 20.0)
+    blocks.explain()
+    assert "Generate" not in capsys.readouterr().out
+    got = {(r.term, r.rng): [tuple(d) for d in r.docs] for r in blocks.collect()}
+    want = {}
+    for i, t in enumerate(texts[:200]):
+        for w in set(t.split()):
+            want.setdefault((w, i % 3), []).append((i, t.split().count(w), len(t.split())))
+    assert got == want
+
+
+def test_trigrams_in_tasks_equal_the_expression(spark, capsys):
+    from pyspark.sql import functions as F
+
+    texts = ["", "a", "abab", "\u00e9\U0001f600\u0130x", "aaaaaa", "ABAB", "x\ny"]
+    rows = spark.createDataFrame([(i, i % 2, t.lower()) for i, t in enumerate(texts)], "doc_id long, rng long, text string")
+    want = {(g, r.doc_id) for r in rows.select("doc_id", index_store.trigrams(F.col("text")).alias("g")).collect() for g in r.g}
+    lists = index_store.gram_lists(rows).collect()
+    assert {(r.gram, d) for r in lists for d in r.docs} == want and sum(r.n for r in lists) == len(want)
