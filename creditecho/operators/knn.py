@@ -26,6 +26,7 @@ SCAN_QUERIES = 20_000
 SCAN_CELLS = 5_000_000
 TILE_ROWS = 20_000
 PAIRS_AT_ONCE = 4_000_000
+VISITS_AT_ONCE = 16_384
 DIGITS = 9
 
 
@@ -179,23 +180,8 @@ def _cells(
     limits = spark.sparkContext.broadcast((count, far, kth))
 
     def visit(batches):
-        n, reach, inside = limits.value
         for b in batches:
-            if not len(b):
-                continue
-            v = _matrix(b["vector"])
-            v = _unit(v) if unit else v
-            d = distances(v, shared.value, space)
-            bound = (d + inside[None, :]).min(1)
-            go = ((d - reach[None, :]) <= bound[:, None] + 1e-6) & (n[None, :] > 0)
-            if probes:
-                open_d = np.where(n[None, :] > 0, d, np.inf)
-                rank = open_d.argsort(1, kind="stable").argsort(1, kind="stable")
-                go &= rank < probes
-            r, c = np.nonzero(go)
-            yield pd.DataFrame({
-                "query_id": b["query_id"].to_numpy()[r], "vector": [v[i] for i in r], "cell": c.astype(np.int32)
-            })
+            yield from visited(b["query_id"].to_numpy(), _matrix(b["vector"]), shared.value, limits.value, unit, space, probes)
 
     visits = queries.select("query_id", "vector").mapInPandas(visit, "query_id long, vector array<double>, cell int")
     guests = {row["cell"]: row["n"] for row in visits.groupBy("cell").agg(F.count("*").alias("n")).collect()}
@@ -231,6 +217,24 @@ def _cells(
     return found.unionByName(beside) if unit else found
 
 
+def visited(ids: np.ndarray, vectors: np.ndarray, centers: np.ndarray, limits: tuple, unit: bool, space: str, probes: int | None):
+    """Frames (query_id, vector, cell) of the cells that queries visit, at most VISITS_AT_ONCE rows or one query each: a query may visit
+    every cell, so one frame for all of a batch would hold its vectors as often as there are cells."""
+    n, reach, inside = limits
+    step = max(1, VISITS_AT_ONCE // len(centers))
+    for at in range(0, len(ids), step):
+        v = _unit(vectors[at:at + step]) if unit else vectors[at:at + step]
+        d = distances(v, centers, space)
+        bound = (d + inside[None, :]).min(1)
+        go = ((d - reach[None, :]) <= bound[:, None] + 1e-6) & (n[None, :] > 0)
+        if probes:
+            open_d = np.where(n[None, :] > 0, d, np.inf)
+            rank = open_d.argsort(1, kind="stable").argsort(1, kind="stable")
+            go &= rank < probes
+        r, c = np.nonzero(go)
+        yield pd.DataFrame({"query_id": ids[at:at + step][r], "vector": [v[i] for i in r], "cell": c.astype(np.int32)})
+
+
 def _no_hits(queries: DataFrame) -> DataFrame:
     return queries.sparkSession.createDataFrame([], "query_id long, doc_id long, distance double")
 

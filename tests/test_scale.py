@@ -1,8 +1,18 @@
 """Steps whose memory or work must not grow with a whole batch."""
+import numpy as np
 from pyspark.sql import functions as F
 
 from creditecho.functions import text as T
-from creditecho.operators import index_store
+from creditecho.operators import index_store, knn
+
+
+def test_visits_leave_in_small_frames():
+    rng = np.random.default_rng(3)
+    ids, vectors, centers = np.arange(700), rng.normal(size=(700, 16)), rng.normal(size=(256, 16))
+    limits = np.full(256, 9.0), np.full(256, 50.0), np.full(256, 50.0)  # every query visits every cell
+    frames = list(knn.visited(ids, vectors, centers, limits, False, "euclidean", None))
+    assert max(map(len, frames)) <= knn.VISITS_AT_ONCE and sum(map(len, frames)) == 700 * 256
+    assert sorted({i for f in frames for i in f["query_id"]}) == list(range(700))
 
 
 def test_tokens_in_one_pass_equal_two(spark):
