@@ -118,24 +118,23 @@ def word_blocks(placed: DataFrame, avgdl: float) -> DataFrame:
 
 
 def gram_lists(texts: DataFrame) -> DataFrame:
-    """(gram, rng, n, docs): distinct trigrams of the texts (doc_id, rng, text) with the documents of a range that hold them, ascending."""
+    """(gram, rng, n, docs): distinct trigrams of rows (doc_id, rng, texts) with the documents of a range that hold them, ascending."""
     key = texts.schema["doc_id"].dataType.simpleString()
 
     def task(t: pa.Table) -> pa.Table:
         t = t.combine_chunks().sort_by([("doc_id", "ascending")])
-        code = pc.dictionary_encode(t["doc_id"], null_encoding="encode").combine_chunks().indices.to_numpy()
         grams, docs = [], []
-        for at, text in enumerate(t["text"].to_pylist()):
-            c = np.frombuffer(f"{OPEN}{text}{CLOSE}{CLOSE}".encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.int64)
-            grams.append(np.unique(c[:-2] << 42 | c[1:-1] << 21 | c[2:]))
+        for at, texts in enumerate(t["texts"].to_pylist()):
+            held = []
+            for text in texts:
+                c = np.frombuffer(f"{OPEN}{text}{CLOSE}{CLOSE}".encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.int64)
+                held.append(c[:-2] << 42 | c[1:-1] << 21 | c[2:])
+            grams.append(np.unique(np.concatenate(held)))
             docs.append(np.full(len(grams[-1]), at))
         gram, doc = np.concatenate(grams), np.concatenate(docs)
         order = np.argsort(gram, kind="stable")
         gram, doc = gram[order], doc[order]
-        new = np.r_[True, gram[1:] != gram[:-1]]
-        kept = new | np.r_[True, code[doc[1:]] != code[doc[:-1]]]  # several texts of a document
-        gram, doc, new = gram[kept], doc[kept], new[kept]
-        starts = np.flatnonzero(new)
+        starts = np.flatnonzero(np.r_[True, gram[1:] != gram[:-1]])
         one = gram[starts]
         letters = np.stack([one >> 42, one >> 21 & 0x1FFFFF, one & 0x1FFFFF], axis=1).astype("<u4").tobytes().decode("utf-32-le", "surrogatepass")
         return pa.table({
@@ -144,7 +143,7 @@ def gram_lists(texts: DataFrame) -> DataFrame:
             "docs": pa.ListArray.from_arrays(pa.array(np.r_[starts, len(gram)], pa.int32()), t["doc_id"].combine_chunks().take(pa.array(doc))),
         })
 
-    return texts.select("doc_id", "rng", "text").groupBy("rng").applyInArrow(task, f"gram string, rng long, n long, docs array<{key}>")
+    return texts.filter(F.size("texts") > 0).select("doc_id", "rng", "texts").groupBy("rng").applyInArrow(task, f"gram string, rng long, n long, docs array<{key}>")
 
 
 def trigrams(text: Column) -> Column:
@@ -198,9 +197,9 @@ def build(
     tables["terms"] = write_partitioned(terms, "bucket", f"{folder}/terms", "term")
 
     tables["reviews"] = write_partitioned(rows.withColumn("part", part(n_docs)), "part", f"{folder}/reviews")
-    texts = F.array(*[F.lower(F.col(c)) for c in searched])
-    told = rows.select("doc_id", F.pmod(F.xxhash64("doc_id"), F.lit(max(1, n_docs // range_docs))).alias("rng"), F.explode(texts).alias("text"))
-    lists = gram_lists(told.filter("text IS NOT NULL"))
+    texts = F.array_compact(F.array(*[F.lower(F.col(c)) for c in searched])).alias("texts")
+    told = rows.select("doc_id", F.pmod(F.xxhash64("doc_id"), F.lit(max(1, n_docs // range_docs))).alias("rng"), texts)
+    lists = gram_lists(told)
     tables["grams"] = write_partitioned(lists.withColumn("bucket", bucket(F.col("gram"), buckets)), "bucket", f"{folder}/grams", "gram", "rng")
     if vectors is not None:
         vectors.write.mode("overwrite").parquet(f"{folder}/vectors")
