@@ -15,6 +15,7 @@ from creditecho.operators import insights as I
 from creditecho.operators import sentiment as S
 from creditecho.operators.joins import lookup_join
 from creditecho.plans import search as P
+from creditecho.session import stored
 from creditecho.sources import sinks
 from creditecho.sources.tables import doc_vectors, reviews, search_queries
 
@@ -208,9 +209,10 @@ def _(spark, sf):
 
 # ------------------------------------------------------------------ fusion
 def lists(spark, sf):
-    words = index_of(spark, sf).top_documents(query_texts(spark, sf), K)
+    """Both ranked lists, written once: fusion, similarities and reranking read them repeatedly."""
+    words = P.word_list(index_of(spark, sf), query_texts(spark, sf), OPTIONS)
     near = P.vector_list(search_queries(spark, sf), doc_vectors(spark, sf), K)
-    return words, near
+    return words, stored(near, "vector-list")
 
 
 _LISTS = f"{_WORDS}, {_VECTORS}, {fused_sql(K, 0.5, 20, 0)}"

@@ -38,7 +38,7 @@ from creditecho.session import stored
 RANGE_DOCS = 256
 RANGE_WORDS = 1 << 20
 LENGTH_CLASSES = 64
-BUCKET_ROWS = 250_000
+BUCKET_ROWS = 4_000_000
 MAX_BUCKETS = 4096
 BUCKET_FILES = 16
 SCALE = 1e10
@@ -163,9 +163,10 @@ def with_idf(counts: DataFrame, n_docs: int) -> DataFrame:
 
 
 def write_partitioned(df: DataFrame, by: str, path: str, *order: str) -> DataFrame:
-    """Written by partition and read again. A bucket is dealt over a few files, so that one very frequent word is not one task."""
+    """Written by partition and read again. A bucket is dealt over a few files, so that one very frequent word is not one task.
+    Files are few and of a megabyte or so: every open, commit and listing costs time in proportion to their number."""
     dealt = df.repartition(by, F.pmod(F.xxhash64("rng"), F.lit(BUCKET_FILES))) if "rng" in df.columns else df.repartition(by)
-    dealt.sortWithinPartitions(by, *order).write.mode("overwrite").partitionBy(by).parquet(path)
+    dealt.sortWithinPartitions(by, *order).write.mode("overwrite").option("compression", "zstd").partitionBy(by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -182,7 +183,7 @@ def build(
 
         lemmas.select("token", "lemma").write.mode("overwrite").parquet(f"{folder}/lemmas")
         words = lemmatized(words, spark.read.parquet(f"{folder}/lemmas"))
-    words = stored(words.withColumn("dl", F.size("words")), "index-words")
+    words = stored(words.withColumn("dl", F.size("words")), "index-words", compression="zstd")
     placed = with_ranges(words, range_docs)
     n_docs, n_words, avgdl = words.agg(F.count("*"), F.coalesce(F.sum("dl"), F.lit(0)), F.avg("dl")).first()
     repeats = words.select("doc_id", "dl").distinct().groupBy("doc_id").count().filter("count > 1").limit(1).count() > 0

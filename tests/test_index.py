@@ -119,3 +119,21 @@ def test_trigrams_in_tasks_equal_the_expression(spark, capsys):
     want = {(g, r.doc_id) for r in rows.select("doc_id", index_store.trigrams(F.col("text")).alias("g")).collect() for g in r.g}
     lists = index_store.gram_lists(rows.withColumn("texts", F.array("text", "text"))).collect()
     assert {(r.gram, d) for r in lists for d in r.docs} == want and sum(r.n for r in lists) == len(want)
+
+
+def test_files_are_few_and_both_lists_are_written_once(spark, tmp_path, capsys):
+    assert index_store.buckets_for(28_000_000) * index_store.BUCKET_FILES <= 128 and index_store.buckets_for(280_000_000) <= 80
+    from creditecho.catalog import search
+
+    tables = {
+        "documents": ([(i, f"w{i % 7} w{i % 3}", "s") for i in range(30)], "doc_id long, text string, source string"),
+        "labels": ([(1, 1, 0)], "doc_id long, quality int, toxic int"), "benchmark": ([(0, "w1 w2"), (1, "w5")], "item_id long, text string"),
+        "embeddings": ([(i, [1.0, float(i)], 0) for i in range(30)], "vec_id long, embedding array<double>, label int"),
+    }
+    for name, (rows, schema) in tables.items():
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{tmp_path}/{name}.parquet")
+    for side in search.lists(spark, str(tmp_path)):
+        assert side.count() > 0
+        side.explain()
+        plan = capsys.readouterr().out
+        assert "FileScan parquet" in plan and not any(x in plan for x in ("MapInPandas", "MapInArrow", "Window", "Exchange"))
