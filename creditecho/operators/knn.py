@@ -8,6 +8,9 @@ first k per query leave a task, never all pairs.
   still hold one of its k nearest rows (triangle inequality), so the answer stays exact. Large cells are
   split into tiles, and the visitors of a cell into blocks, so no group grows with the data.
 
+* many queries of few dimensions: boxes of a kd-tree over a bounded sample instead of cells. A query first searches the box it lies in; its k-th
+  distance there says which other boxes it must visit. Boxes hold about ``BOX_ROWS`` rows, so the work per query does not grow with the corpus.
+
 A zero vector has cosine 0 with everything. The triangle inequality says nothing about it, so zero rows stay out of the cells; only the
 first k of them by key can be among the nearest, and these join every list.
 """
@@ -21,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from creditecho.operators.totals import top_ranked
+from creditecho.session import stored
 
 SCAN_QUERIES = 20_000
 SCAN_CELLS = 5_000_000
@@ -28,6 +32,11 @@ TILE_ROWS = 20_000
 PAIRS_AT_ONCE = 4_000_000
 VISITS_AT_ONCE = 16_384
 DIGITS = 9
+BOX_DIMENSIONS = 16
+BOX_ROWS = 2_048
+MAX_BOXES = 16_384
+BOX_SAMPLE = 16  # sampled rows a box
+BOX_QUERIES = 4_096
 
 
 def _unit(m: np.ndarray) -> np.ndarray:
@@ -235,6 +244,172 @@ def visited(ids: np.ndarray, vectors: np.ndarray, centers: np.ndarray, limits: t
         yield pd.DataFrame({"query_id": ids[at:at + step][r], "vector": [v[i] for i in r], "cell": c.astype(np.int32)})
 
 
+class BoxTree:
+    """A kd-tree over a sample: arrays of nodes, whose leaves are the boxes. Any split is right; the sample only decides balance."""
+
+    def __init__(self, sample: np.ndarray, boxes: int):
+        self.axis, self.cut, self.left, self.right = [], [], [], []
+        self._grow(sample, boxes)
+        self.axis, self.cut, self.left, self.right = (np.array(x) for x in (self.axis, self.cut, self.left, self.right))
+        self.low = self.high = self.count = None
+
+    def arrays(self) -> tuple:
+        """What a broadcast may hold: workers have no copy of the package."""
+        return self.axis, self.cut, self.left, self.right, self.count, self.low, self.high
+
+    @staticmethod
+    def of(arrays: tuple) -> BoxTree:
+        tree = BoxTree.__new__(BoxTree)
+        tree.axis, tree.cut, tree.left, tree.right, tree.count, tree.low, tree.high = arrays
+        return tree
+
+    def _grow(self, rows: np.ndarray, boxes: int) -> int:
+        node = len(self.axis)
+        for values, value in ((self.axis, -1), (self.cut, 0.0), (self.left, -1), (self.right, -1)):
+            values.append(value)
+        if boxes > 1 and len(rows) > 1:
+            spread = rows.max(0) - rows.min(0)
+            axis = int(spread.argmax())
+            x = np.sort(rows[:, axis])
+            if x[0] < x[-1]:
+                cut = x[(len(x) - 1) // 2]
+                cut = cut if cut < x[-1] else x[x < cut].max()
+                below = rows[:, axis] <= cut
+                self.axis[node], self.cut[node] = axis, cut
+                self.left[node] = self._grow(rows[below], boxes // 2)
+                self.right[node] = self._grow(rows[~below], boxes - boxes // 2)
+        return node
+
+    def place(self, v: np.ndarray) -> np.ndarray:
+        """The leaf of every vector."""
+        at = np.zeros(len(v), dtype=np.int64)
+        while True:
+            go = np.flatnonzero(self.axis[at] >= 0)
+            if not len(go):
+                return at
+            here = at[go]
+            at[go] = np.where(v[go, self.axis[here]] <= self.cut[here], self.left[here], self.right[here])
+
+    def fit(self, count: np.ndarray, low: np.ndarray, high: np.ndarray) -> None:
+        """Rows and limits of the leaves; those of inner nodes follow, children first. An empty box is nowhere."""
+        self.count, self.low, self.high = count, low, high
+        for i in range(len(self.axis) - 1, -1, -1):
+            if self.axis[i] >= 0:
+                sides = [self.left[i], self.right[i]]
+                self.count[i], self.low[i], self.high[i] = count[sides].sum(), low[sides].min(0), high[sides].max(0)
+
+    def gap(self, v: np.ndarray, node: np.ndarray, metric: str, farthest: bool = False) -> np.ndarray:
+        """Least (or largest) distance of a vector to the box of a node, pair by pair."""
+        below, above = self.low[node] - v, v - self.high[node]
+        side = np.maximum(-below, -above) if farthest else np.maximum(np.maximum(below, above), 0)
+        return side.sum(-1) if metric == "manhattan" else np.sqrt((side * side).sum(-1))
+
+    def visits(self, v: np.ndarray, bound: np.ndarray, k: int, metric: str) -> tuple[np.ndarray, np.ndarray]:
+        """(row, leaf) of all boxes that may hold a row within ``bound``. Without a bound, a box of k rows that lies wholly near gives one."""
+        bound = bound.copy()
+        full = np.flatnonzero((self.axis < 0) & (self.count >= k))
+        for i in np.flatnonzero(~np.isfinite(bound)) if len(full) else ():
+            bound[i] = self.gap(v[i][None, :], full, metric, farthest=True).min()
+        row, node = np.arange(len(v)), np.zeros(len(v), dtype=np.int64)
+        rows, leaves = [], []
+        while len(row):
+            near = (self.count[node] > 0) & (self.gap(v[row], node, metric) <= bound[row] + 1e-6 * (1 + np.abs(bound[row])))
+            row, node = row[near], node[near]
+            leaf = self.axis[node] < 0
+            rows.append(row[leaf])
+            leaves.append(node[leaf])
+            row, node = row[~leaf], node[~leaf]
+            row, node = np.concatenate([row, row]), np.concatenate([self.left[node], self.right[node]])
+        return np.concatenate(rows or [row]), np.concatenate(leaves or [node])
+
+
+def _boxes(queries: DataFrame, corpus: DataFrame, k: int, metric: str) -> DataFrame:
+    """Exact lists by boxes. Of equal vectors only the first k by key can be in a list, so a hot vector is cut to these before rows are placed."""
+    spark = corpus.sparkSession
+    finite = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))
+    usable = F.coalesce(F.forall("vector", finite), F.lit(False))
+    queries = queries.filter(usable).select("query_id", F.col("vector").cast("array<double>").alias("vector"))
+    rows = corpus.filter(usable).select("doc_id", F.col("vector").cast("array<double>").alias("vector"), (-F.col("doc_id")).alias("_near"))
+    rows = stored(top_ranked(rows, ["vector"], "_near", "doc_id", k).select("doc_id", "vector"), "knn-rows")
+    n = rows.count()
+    if not n:
+        return _no_hits(queries)
+    boxes = max(1, min(MAX_BOXES, n // BOX_ROWS))
+    step = max(1, n // (boxes * BOX_SAMPLE))
+    sample = rows.filter(F.pmod(F.xxhash64("doc_id"), F.lit(step)) == 0).select("vector").toPandas()["vector"]
+    tree = BoxTree(_matrix(sample), boxes if len(sample) else 1)
+    shape = spark.sparkContext.broadcast(tree.arrays())
+
+    def place(batches):
+        tree = BoxTree.of(shape.value)
+        for b in batches:
+            if len(b):
+                yield b.assign(box=tree.place(_matrix(b["vector"])).astype(np.int32))
+
+    placed = rows.mapInPandas(place, "doc_id long, vector array<double>, box int")
+    width = len(rows.select("vector").first()[0])
+    limits = [f(F.get("vector", F.lit(i))).alias(f"{name}{i}") for i in range(width) for name, f in (("low", F.min), ("high", F.max))]
+    told = placed.groupBy("box").agg(F.count("*").alias("n"), *limits).collect()  # at most MAX_BOXES rows
+    count, low, high = np.zeros(len(tree.axis), np.int64), np.full((len(tree.axis), width), np.inf), np.full((len(tree.axis), width), -np.inf)
+    for r in told:
+        count[r["box"]], low[r["box"]], high[r["box"]] = r["n"], [r[f"low{i}"] for i in range(width)], [r[f"high{i}"] for i in range(width)]
+    tree.fit(count, low, high)
+    fitted = spark.sparkContext.broadcast(tree.arrays())
+
+    def searched(asked: DataFrame, task, schema: str) -> DataFrame:
+        """``task`` on the queries of every box, at most about BOX_QUERIES at once, beside the rows of the box."""
+        guests = asked.groupBy("box").agg(F.ceil(F.count("*") / BOX_QUERIES).cast("int").alias("blocks"))
+        guests = F.broadcast(stored(guests, "knn-guests"))
+        left = asked.join(guests, "box").withColumn("block", F.pmod(F.xxhash64("query_id"), F.col("blocks")).cast("int")).drop("blocks")
+        right = placed.join(guests, "box").select("doc_id", "vector", "box", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
+        return left.groupBy("box", "block").cogroup(right.groupBy("box", "block")).applyInPandas(task, schema)
+
+    def home(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
+        best = NearestList(_matrix(q["vector"]), k, metric)
+        if len(q) and len(c):
+            best.add(c["doc_id"].to_numpy(dtype=np.int64), _matrix(c["vector"]))
+        ends = np.searchsorted(best.row, np.arange(len(q) + 1))
+        hits = [(best.key[i:j].tolist(), best.dist[i:j].tolist()) for i, j in zip(ends[:-1], ends[1:])]
+        return pd.DataFrame({
+            "query_id": q["query_id"], "vector": q["vector"], "box": q["box"], "bound": best.worst[:len(q)],
+            "docs": [x for x, _ in hits], "distances": [x for _, x in hits],
+        })
+
+    def visit(batches):
+        tree = BoxTree.of(fitted.value)
+        for b in batches:
+            for at in range(0, len(b), VISITS_AT_ONCE // 16):
+                part = b.iloc[at:at + VISITS_AT_ONCE // 16]
+                v, bound = _matrix(part["vector"]), part["bound"].to_numpy(dtype=np.float64)
+                row, box = tree.visits(v, bound, k, metric)
+                away = box != part["box"].to_numpy()[row]
+                row, box = row[away], box[away]
+                for first in range(0, len(row), VISITS_AT_ONCE):
+                    r = row[first:first + VISITS_AT_ONCE]
+                    yield pd.DataFrame({
+                        "query_id": part["query_id"].to_numpy()[r], "vector": part["vector"].to_numpy()[r], "bound": bound[r],
+                        "box": box[first:first + VISITS_AT_ONCE].astype(np.int32),
+                    })
+
+    def compare(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
+        ids = q["query_id"].to_numpy(dtype=np.int64)
+        best = NearestList(_matrix(q["vector"]), k, metric)
+        if len(q) and len(c):
+            best.worst = q["bound"].to_numpy(dtype=np.float64).copy()
+            best.add(c["doc_id"].to_numpy(dtype=np.int64), _matrix(c["vector"]))
+        return pd.DataFrame({"query_id": ids[best.row], "doc_id": best.key, "distance": best.dist})
+
+    asked = queries.mapInPandas(place, "query_id long, vector array<double>, box int")
+    near = stored(searched(
+        asked, home, "query_id long, vector array<double>, box int, bound double, docs array<long>, distances array<double>"
+    ), "knn-home")
+    own = near.select("query_id", F.explode(F.arrays_zip("docs", "distances")).alias("h")).select(
+        "query_id", F.col("h.docs").alias("doc_id"), F.col("h.distances").alias("distance")
+    )
+    visits = near.select("query_id", "vector", "bound", "box").mapInPandas(visit, "query_id long, vector array<double>, bound double, box int")
+    return own.unionByName(searched(visits, compare, "query_id long, doc_id long, distance double"))
+
+
 def _no_hits(queries: DataFrame) -> DataFrame:
     return queries.sparkSession.createDataFrame([], "query_id long, doc_id long, distance double")
 
@@ -265,6 +440,9 @@ def nearest(
     few = probes is None and queries.limit(allowed + 1).count() <= allowed
     if few:
         return _result(_scan(queries, corpus, k, metric, exclude_self), k)
+    first = corpus.select(F.size("vector")).first() if probes is None and not exclude_self and metric in ("euclidean", "manhattan") else None
+    if first and 0 < first[0] <= BOX_DIMENSIONS:
+        return _result(_boxes(queries, corpus, k, metric), k)
     return _result(_cells(queries, corpus, k, metric, exclude_self, pivots, probes, tile_rows), k)
 
 
