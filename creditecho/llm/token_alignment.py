@@ -41,6 +41,7 @@ from creditecho.llm.textbatch import groups
 FAN = 8
 PACK_BYTES = 2 << 20
 MEMO_ENTRIES = 150_000
+LEARN_WORDS = 4_096
 QUICK_BYTES = 512
 PACKS_PER_TASK = 4
 SPACE_MARK = "▁"  # Fixed value: the mark that stands for a space in pieces
@@ -240,10 +241,11 @@ class Aligner:
         self.memo: dict[bytes, tuple[bytes, bytes] | None] = {}
 
     def learn(self, words: list[bytes]) -> None:
-        """Tokenizes the words that are not known yet, together."""
+        """Tokenizes the words that are not known yet, ``LEARN_WORDS`` together: lists of ids take many times the memory of what is kept."""
         new = [w for w in words if w not in self.memo]
-        for w, tokens in zip(new, self.tokenizers.words(new)):
-            self.memo[w] = tokens
+        for at in range(0, len(new), LEARN_WORDS):
+            some = new[at:at + LEARN_WORDS]
+            self.memo.update(zip(some, self.tokenizers.words(some)))
 
     def forget(self) -> None:
         if len(self.memo) > MEMO_ENTRIES:

@@ -129,3 +129,14 @@ def test_documents(spark, frame, libraries):
     assert got(ta.align(docs, *PATHS)) == want
     assert got(ta.align(docs, *PATHS, chunk_bytes=50)) == want  # most documents are cut, up to 120 ranges and three levels
     assert ta.align(docs.filter("doc_id = -1"), *PATHS).count() == 0
+
+
+def test_words_are_learned_in_small_lists():
+    aligner = ta.Aligner(*(open(p, "rb").read() for p in PATHS))
+    asked, words = [], aligner.tokenizers.words
+    aligner.tokenizers.words = lambda some: asked.append(len(some)) or words(some)
+    new = [f" w{i}é".encode() for i in range(ta.LEARN_WORDS + 700)]
+    aligner.learn(new[:50] + new)
+    aligner.learn(new)
+    assert max(asked) <= ta.LEARN_WORDS and sum(asked) >= len(new)
+    assert [aligner.memo[w] for w in new] == words(new)
