@@ -35,7 +35,7 @@ from creditecho.operators.joins import is_small
 from creditecho.operators.totals import top_ranked
 from creditecho.session import stored
 
-RANGE_DOCS = 256
+RANGE_DOCS = 1024
 RANGE_WORDS = 1 << 20
 LENGTH_CLASSES = 64
 BUCKET_ROWS = 4_000_000
@@ -162,11 +162,12 @@ def with_idf(counts: DataFrame, n_docs: int) -> DataFrame:
     return told.withColumn("idf", F.when(F.col("_raw") < 0, floor).otherwise(F.col("_raw"))).drop("_raw")
 
 
-def write_partitioned(df: DataFrame, by: str, path: str, *order: str) -> DataFrame:
+def write_partitioned(df: DataFrame, by: str, path: str) -> DataFrame:
     """Written by partition and read again. A bucket is dealt over a few files, so that one very frequent word is not one task.
-    Files are few and of a megabyte or so: every open, commit and listing costs time in proportion to their number."""
+    Files are few and of a megabyte or so: every open, commit and listing costs time in proportion to their number. Rows are ordered by
+    partition alone, an integer; no search relies on an order inside a bucket, and comparing words took most of the time of a write."""
     dealt = df.repartition(by, F.pmod(F.xxhash64("rng"), F.lit(BUCKET_FILES))) if "rng" in df.columns else df.repartition(by)
-    dealt.sortWithinPartitions(by, *order).write.mode("overwrite").option("compression", "zstd").partitionBy(by).parquet(path)
+    dealt.sortWithinPartitions(by).write.mode("overwrite").option("compression", "zstd").partitionBy(by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -192,16 +193,17 @@ def build(
 
     buckets = buckets_for(n_words)
     blocks = word_blocks(placed, avgdl)
-    tables = {"postings": write_partitioned(blocks.withColumn("bucket", bucket(F.col("term"), buckets)), "bucket", f"{folder}/postings", "term", "rng")}
+    tables = {"postings": write_partitioned(blocks.withColumn("bucket", bucket(F.col("term"), buckets)), "bucket", f"{folder}/postings")}
     frequency = stored(tables["postings"].groupBy("term").agg(F.sum("n").alias("df")), "index-frequency")
     terms = with_idf(frequency, n_docs).withColumn("bucket", bucket(F.col("term"), buckets))
-    tables["terms"] = write_partitioned(terms, "bucket", f"{folder}/terms", "term")
+    tables["terms"] = write_partitioned(terms, "bucket", f"{folder}/terms")
 
     tables["reviews"] = write_partitioned(rows.withColumn("part", part(n_docs)), "part", f"{folder}/reviews")
     texts = F.array_compact(F.array(*[F.lower(F.col(c)) for c in searched])).alias("texts")
-    told = rows.select("doc_id", F.pmod(F.xxhash64("doc_id"), F.lit(max(1, n_docs // range_docs))).alias("rng"), texts)
+    ranges = max(1, n_docs // range_docs, n_words // RANGE_WORDS)  # fewer documents if they are long
+    told = rows.select("doc_id", F.pmod(F.xxhash64("doc_id"), F.lit(ranges)).alias("rng"), texts)
     lists = gram_lists(told)
-    tables["grams"] = write_partitioned(lists.withColumn("bucket", bucket(F.col("gram"), buckets)), "bucket", f"{folder}/grams", "gram", "rng")
+    tables["grams"] = write_partitioned(lists.withColumn("bucket", bucket(F.col("gram"), buckets)), "bucket", f"{folder}/grams")
     if vectors is not None:
         vectors.write.mode("overwrite").parquet(f"{folder}/vectors")
     values = {"tokenizer": "word", "metric": "cosine", "buckets": str(buckets), "searched": ",".join(searched), "lemmas": str(lemmas is not None), "repeats": str(repeats), **(config or {})}

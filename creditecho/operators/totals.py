@@ -13,6 +13,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from creditecho.operators.joins import is_small
+from creditecho.session import stored
+
 
 def range_count(spark: SparkSession) -> int:
     return max(16, min(4096, 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))))
@@ -174,7 +177,8 @@ def average_ranks(df: DataFrame, by: list[str], value: str, weight: str, name: s
 def ranked(df: DataFrame, by: list[str], score: str, tie: str, name: str = "rank") -> DataFrame:
     """Exact row number by (score desc, tie asc) for groups of any size.
 
-    Rows equal to a sketch limit (a hot score) are split further by ranges of the tie key.
+    Rows equal to a sketch limit (a hot score) are split further by ranges of the tie key. Rows are written once with their ranges, shuffled
+    once for their order inside a range, and get the offset of the range by a join that is a broadcast where the ranges were counted to be few.
     """
     ranges = range_count(df.sparkSession)
     keyed = df.withColumn("_key", -F.col(score).cast("double"))
@@ -182,16 +186,18 @@ def ranked(df: DataFrame, by: list[str], score: str, tie: str, name: str = "rank
         keyed, F.col("_key"), range_limits(keyed, F.col("_key"), ranges), "_r1", at_limit="_hot"
     )
     tie_limits = range_limits(df, F.col(tie).cast("double"), ranges)
-    keyed = with_range(keyed, F.col(tie).cast("double"), tie_limits, "_r2")
-    keyed = keyed.withColumn("_r2", F.when(F.col("_hot"), F.col("_r2")).otherwise(F.lit(0))).drop("_hot")
+    tie_range = _count_up_to(F.col("_limits"), F.col(tie).cast("double"), ranges)  # looked up for rows of a hot score alone
+    keyed = keyed.withColumn("_limits", tie_limits).withColumn("_r2", F.when(F.col("_hot"), tie_range).otherwise(F.lit(0)))
+    keyed = stored(keyed.drop("_hot", "_limits"), "ranked-rows")
     part = by + ["_r1", "_r2"]
     per_range = keyed.groupBy(*part).agg(F.count("*").alias("_n"))
     w = W.partitionBy(*by) if by else W.partitionBy(F.lit(0))
     earlier = w.orderBy("_r1", "_r2").rowsBetween(W.unboundedPreceding, -1)
-    offsets = per_range.select(*part, F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_o"))
-    joined = null_safe_join(keyed, offsets, part)
+    offsets = stored(per_range.select(*part, F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_o")), "ranked-offsets")
     inside = F.row_number().over(W.partitionBy(*part).orderBy("_key", tie))
-    return joined.withColumn(name, (F.col("_o") + inside).cast("long")).drop("_key", "_r1", "_r2", "_o")
+    placed = keyed.withColumn("_inside", inside)
+    joined = null_safe_join(placed, F.broadcast(offsets) if is_small(offsets) else offsets, part)
+    return joined.withColumn(name, (F.col("_o") + F.col("_inside")).cast("long")).drop("_key", "_r1", "_r2", "_o", "_inside")
 
 
 def top_ranked(df: DataFrame, by: list[str], score: str, tie: str, k: int, name: str = "rank") -> DataFrame:

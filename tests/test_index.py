@@ -137,3 +137,9 @@ def test_files_are_few_and_both_lists_are_written_once(spark, tmp_path, capsys):
         side.explain()
         plan = capsys.readouterr().out
         assert "FileScan parquet" in plan and not any(x in plan for x in ("MapInPandas", "MapInArrow", "Window", "Exchange"))
+
+
+def test_trigram_ranges_are_smaller_for_long_texts(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(index_store, "RANGE_WORDS", 50)
+    index = index_store.build(spark.createDataFrame(rows_of([f"w{i} " * 40 for i in range(60)]), SCHEMA), str(tmp_path / "g"))
+    assert index.grams.select("rng").distinct().count() > 10

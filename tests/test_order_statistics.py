@@ -102,3 +102,13 @@ def test_label_values(spark):
     got = {n: [r.value for r in sorted(out, key=lambda r: r.class_id) if r.label_set == n] for n in sets}
     assert got["stars"] == [-1.0, -0.5, 0.0, 0.5, 1.0] and got["two"] == [-1.0, 1.0] and got["three"] == [-1.0, 0.0, 1.0]
     assert got["four"] == pytest.approx([-1, -1 / 3, 1 / 3, 1]) and got["plain"] == [-1.0, 1.0]
+
+
+def test_ranks_shuffle_the_rows_once(spark, capsys):
+    df = spark.range(4000).selectExpr("id", "id % 3 AS g", "double(id * 7919 % 1000) AS s")
+    both = O.ranked(df, ["g"], "s", "id")
+    both.explain("formatted")
+    plan = capsys.readouterr().out.split("== Initial Plan ==")[0].split("(1) ")[0]
+    assert plan.count("Exchange hashpartitioning") + plan.count("- Exchange") == 1 and "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    want = {(r.g, r.id): r.want for r in df.selectExpr("g", "id", "row_number() OVER (PARTITION BY g ORDER BY s DESC, id) AS want").collect()}
+    assert {(r.g, r.id): r["rank"] for r in both.collect()} == want
