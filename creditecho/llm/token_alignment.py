@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from creditecho.llm.chunks import NULL_ID
-from creditecho.llm.store import stored
+from creditecho.llm.store import give_back, stored
 from creditecho.llm.textbatch import groups
 
 FAN = 8
@@ -44,6 +44,7 @@ MEMO_ENTRIES = 150_000
 LEARN_WORDS = 4_096
 QUICK_BYTES = 512
 PACKS_PER_TASK = 4
+LONG_PER_TASK = 64
 SPACE_MARK = "▁"  # Fixed value: the mark that stands for a space in pieces
 Token = tuple[int, int]  # id, length in bytes that lie in the range or before it; see Fragment
 
@@ -490,8 +491,11 @@ def packed(docs: DataFrame, shared) -> DataFrame:
                 size += len(text) + 8
             if size >= PACK_BYTES:
                 yield flush()
+                give_back()
         if ids:
             yield flush()
+        aligner = None
+        give_back()
 
     return stored(docs.select("doc_id", "text").mapInArrow(run, PACK), "align-packs")
 
@@ -519,22 +523,18 @@ def asked(pack: int, codes: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
     )
 
 
-def answer_of(column: pa.Array, row: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def answer_of(replies: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Sorted pair codes of a pack with their count and whether it is the best of its first id."""
-    value = column[row].values
-    if value is None:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-    code, n, best = (np.asarray(value.field(f)).astype(np.int64) for f in ("code", "n", "best"))
+    code, n, best = (replies[f].to_numpy().astype(np.int64) for f in ("code", "n", "best"))
     order = np.argsort(code)
     return code[order], n[order], best[order]
 
 
-def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, int, dict]]:
-    """One row at a time, without its replies."""
+def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    """One row at a time."""
     for batch in batches:
-        plain = [n for n in batch.schema.names if n != "replies"]
         for k in range(batch.num_rows):
-            yield batch, k, batch.select(plain).slice(k, 1).to_pylist()[0]
+            yield batch.slice(k, 1).to_pylist()[0]
 
 
 def align(docs: DataFrame, first: str, second: str, chunk_bytes: int = 64 << 10) -> DataFrame:
@@ -548,12 +548,13 @@ def align(docs: DataFrame, first: str, second: str, chunk_bytes: int = 64 << 10)
     finals = long_documents(plain.filter(is_long), shared, chunk_bytes)
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, _, row in rows_of(batches):
+        for row in rows_of(batches):
             pack = unpacked(row)
             yield asked(row["pack_id"], *pairs_of(pack, word_fragments(pack, *lengths.value, with_text=False)))
+            give_back()
 
     def ask_long(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, _, row in rows_of(batches):
+        for row in rows_of(batches):
             told = finished(from_row(row))
             codes = np.unique(pair_codes(told[4])) if told else np.zeros(0, np.int64)
             yield asked(-1 - row["doc"], codes, np.ones(len(codes), np.int64))
@@ -561,40 +562,47 @@ def align(docs: DataFrame, first: str, second: str, chunk_bytes: int = 64 << 10)
     questions = stored(packs.mapInArrow(ask, QUESTION).unionByName(finals.mapInArrow(ask_long, QUESTION)), "align-questions", compression="zstd")
     counts = pair_counts(questions.select("a", "b", "n"))
     code = F.shiftleft(F.col("a").cast("long"), 32).bitwiseOR(F.col("b").cast("long"))
-    replied = questions.select("pack", "a", "b").join(counts, ["a", "b"]).select("pack", F.struct(code.alias("code"), "n", "best").alias("reply"))
-    replies = replied.groupBy("pack").agg(F.collect_list("reply").alias("replies"))
+    replied = questions.select("pack", "a", "b").join(counts, ["a", "b"]).select("pack", code.alias("code"), "n", "best")
+    replies = stored(replied, "align-replies", compression="zstd")
 
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, k, row in rows_of(batches):
+    def score(packs: pa.Table, replies: pa.Table) -> pa.Table:
+        give_back()
+        found = []
+        for row in packs.to_pylist():
             pack = unpacked(row)
             w = word_fragments(pack, *lengths.value)
-            codes, n, best = answer_of(batch.column("replies"), k)
+            codes, n, best = answer_of(replies)
             at = np.searchsorted(codes, w.links)
             total = lambda x: np.diff(np.concatenate([[0], np.cumsum(x[at])])[w.first_link])
             sums = [w.n_a, w.n_b, w.n_groups, np.diff(w.first_link), total(best), total(n)]
             text = [w.text[i: j - 1] for i, j in zip(w.first_byte[:-1].tolist(), w.first_byte[1:].tolist())]
             words, to = pack["words"].tolist(), np.cumsum(pack["n_words"]).tolist()
-            whole = [b";".join([text[i] for i in words[e - size: e]]).decode() for e, size in zip(to, pack["n_words"].tolist())]
+            whole = [b";".join([text[i] for i in words[e - size: e]]) for e, size in zip(to, pack["n_words"].tolist())]
             columns = [pa.array(pack["ids"], pa.int64(), mask=pack["ids"] == NULL_ID), *(pa.array(per_document(pack, x)) for x in sums)]
-            out = pa.RecordBatch.from_arrays([*columns, pa.array(whole, pa.large_string()).cast(pa.string())], names=[x.split()[0] for x in OUT.split(", ")])
-            for begin in range(0, out.num_rows, 64):
-                yield out.slice(begin, 64)
+            out = pa.RecordBatch.from_arrays([*columns, pa.array(whole, pa.binary()).cast(pa.string())], names=[x.split()[0] for x in OUT.split(", ")])
+            found += [out.slice(begin, 64) for begin in range(0, out.num_rows, 64)]
+        return pa.Table.from_batches(found or [_batch([], OUT)])
 
-    def score_long(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, k, row in rows_of(batches):
+    def score_long(documents: pa.Table, replies: pa.Table) -> pa.Table:
+        rows = []
+        for row in documents.to_pylist():
             told = finished(from_row(row))
             if told is None:
-                yield _batch([(row["doc_id"], 0, 0, 0, 0, 0, 0, "")], OUT)
+                rows.append((row["doc_id"], 0, 0, 0, 0, 0, 0, ""))
                 continue
             n_a, n_b, n_groups, text, links = told
-            codes, n, best = answer_of(batch.column("replies"), k)
+            codes, n, best = answer_of(replies)
             at = np.searchsorted(codes, pair_codes(links))
-            yield _batch([(row["doc_id"], n_a, n_b, n_groups, len(links), int(best[at].sum()), int(n[at].sum()), text)], OUT)
+            rows.append((row["doc_id"], n_a, n_b, n_groups, len(links), int(best[at].sum()), int(n[at].sum()), text))
+        return pa.Table.from_batches([_batch(rows, OUT)])
 
-    # A few packs a task: packs are wide rows, and a task's rows lie in one Arrow batch.
-    tasks = max(1, packs.count() // PACKS_PER_TASK)
-    short = packs.repartition(tasks, "pack_id").join(replies, packs.pack_id == replies.pack, "left").drop("pack").mapInArrow(score, OUT)
-    long_ = finals.join(replies, F.lit(-1) - finals.doc == replies.pack, "left").drop("pack").mapInArrow(score_long, OUT)
+    def answered(rows: DataFrame, replies: DataFrame, run, per_task: int) -> DataFrame:
+        """Every row meets its replies in a group of its own, so that a task holds one pack or document at a time, however many it is dealt."""
+        tasks = max(1, rows.count() // per_task)
+        return rows.repartition(tasks, "pack").groupBy("pack").cogroup(replies.repartition(tasks, "pack").groupBy("pack")).applyInArrow(run, OUT)
+
+    short = answered(packs.withColumn("pack", F.col("pack_id")), replies.filter("pack >= 0"), score, PACKS_PER_TASK)
+    long_ = answered(finals.withColumn("pack", F.lit(-1) - F.col("doc")), replies.filter("pack < 0"), score_long, LONG_PER_TASK)
     return short.unionByName(long_)
 
 

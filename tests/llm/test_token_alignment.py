@@ -140,3 +140,13 @@ def test_words_are_learned_in_small_lists():
     aligner.learn(new)
     assert max(asked) <= ta.LEARN_WORDS and sum(asked) >= len(new)
     assert [aligner.memo[w] for w in new] == words(new)
+
+
+def test_packs_are_answered_one_at_a_time(spark, capsys):
+    """A task that is dealt many packs must not hold them in one batch."""
+    rows = spark.createDataFrame([(i, f"some words {i % 7} of a text") for i in range(60)] + [(99, "w " * 300)], "doc_id long, text string")
+    out = ta.align(rows, *PATHS, chunk_bytes=200)
+    out.explain()
+    plan = capsys.readouterr().out
+    assert plan.count("FlatMapCoGroupsInArrow") == 2 and "MapInArrow" not in plan.replace("FlatMapCoGroupsInArrow", "") and "collect_list" not in plan
+    assert out.count() == 61
