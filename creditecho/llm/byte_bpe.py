@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from creditecho.llm.textbatch import groups, range_hash
 
 MATRIX_LIMIT = 2048
+ENCODE_BYTES = 1 << 19
 NONE = np.int32(2**31 - 1)
 _U = np.uint64
 # The characters of the Unicode property White_Space.
@@ -299,7 +300,7 @@ def encode(docs: DataFrame, path: str, round_trip: bool = False) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v, table = Vocabulary.from_tables(shared.value), char_classes()
-        for batch, parts in groups(batches):
+        for batch, parts in groups(batches, size=ENCODE_BYTES):
             rows = encode_texts(parts, v, table)
             columns = [
                 batch.column("doc_id").cast(pa.int64()), pa.array([len(r) for r in rows], pa.int64()),

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from creditecho.llm.chunks import Chunk, pack, unpack
 from creditecho.llm.components import components
 from creditecho.llm.shared_keys import QUESTIONS, answers, bucket_count, levels, question_rows
-from creditecho.llm.store import stored
+from creditecho.llm.store import give_back, stored
 from creditecho.llm.textbatch import Texts, grams, mixed
 
 SHINGLE = 5
@@ -97,12 +97,16 @@ def documents_and_candidates(docs: DataFrame, shingle: int, percent: int) -> Dat
                 chunk = unpack(batch, row)
                 keys, counts, _ = Sets(chunk.parts, shingle).keys()
                 yield question_rows(chunk.chunk_id, keys, counts, buckets, KEY_BYTES)
+        batch = chunk = keys = counts = None
+        give_back()
 
     def tell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
                 chunk = unpack(batch, row)
                 yield _chunk_rows(chunk, Sets(chunk.parts, shingle), levels(batch.column("replies")[row].as_py()), percent)
+        batch = chunk = None
+        give_back()
 
     replies = answers(chunks.mapInArrow(ask, QUESTIONS), KEY_BYTES)
     joined = chunks.join(replies, "chunk_id", "left")

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from creditecho.llm.hashed_grams import Grams, labelled_sample, training_rows
-from creditecho.llm.textbatch import Texts, covered, grams, groups, range_hash
+from creditecho.llm.textbatch import SCORE_BYTES, Texts, covered, grams, groups, range_hash
 
 GRAMS = Grams(char_sizes=(3, 4), inside_words=False)
 MAX_ROWS = 3000
@@ -155,7 +155,7 @@ def quality_report(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS,
     run = scorer(train(docs, labels, max_rows), keep_at)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, parts in groups(batches):
+        for batch, parts in groups(batches, size=SCORE_BYTES):
             out = run(parts)
             columns = [pa.array(out[c].astype(np.int64)) for c in COUNTS]
             columns += [pa.array(out["base_failed"]), pa.array(out["p_good"].astype(np.float64)), pa.array(out["kept"])]
@@ -172,7 +172,7 @@ def kept_documents(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS,
     run = scorer(train(docs, labels, max_rows), keep_at)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, parts in groups(batches):
+        for batch, parts in groups(batches, size=SCORE_BYTES):
             yield batch.filter(pa.array(run(parts)["kept"]))
 
     return docs.mapInArrow(keep, docs.schema)
