@@ -90,11 +90,14 @@ def word_blocks(placed: DataFrame, avgdl: float) -> DataFrame:
     key = placed.schema["doc_id"].dataType.simpleString()
 
     def task(t: pa.Table) -> pa.Table:
-        t = t.combine_chunks().sort_by([("doc_id", "ascending"), ("dl", "ascending")])
-        lists, dl = t["words"].combine_chunks(), t["dl"].to_numpy()
-        code = pc.dictionary_encode(t["doc_id"], null_encoding="encode").combine_chunks().indices.to_numpy()
+        t = t.combine_chunks()
+        order = pc.sort_indices(t.select(["doc_id", "dl"]), sort_keys=[("doc_id", "ascending"), ("dl", "ascending")])
+        lists, ids, dl = t["words"].combine_chunks(), t["doc_id"].combine_chunks().take(order), t["dl"].combine_chunks().take(order).to_numpy()
+        code = pc.dictionary_encode(ids, null_encoding="encode").indices.to_numpy()
         new = np.r_[True, (code[1:] != code[:-1]) | (dl[1:] != dl[:-1])]  # a key that repeats with its length is one document
-        doc = np.repeat(np.cumsum(new) - 1, pc.list_value_length(lists).to_numpy())
+        place = np.empty(len(new), np.int64)
+        place[order.to_numpy()] = np.cumsum(new) - 1  # rows are numbered in order of their key; their words stay where they are
+        doc = np.repeat(place, pc.list_value_length(lists).to_numpy())
         words = pc.dictionary_encode(lists.flatten())
         kept = np.flatnonzero(new)
         pair, tf = np.unique(words.indices.to_numpy().astype(np.int64) * len(kept) + doc, return_counts=True)
@@ -102,7 +105,7 @@ def word_blocks(placed: DataFrame, avgdl: float) -> DataFrame:
         starts = np.flatnonzero(np.r_[True, word[1:] != word[:-1]][:len(word)])
         rows = pa.array(kept[doc])
         held = pa.StructArray.from_arrays(
-            [t["doc_id"].combine_chunks().take(rows), pa.array(tf, pa.int64()), t["dl"].combine_chunks().take(rows)], ["doc_id", "tf", "dl"]
+            [ids.take(rows), pa.array(tf, pa.int64()), pa.array(dl).take(rows)], ["doc_id", "tf", "dl"]
         )
         length = dl[kept[doc]].astype(np.float64)
         score = tf * (BM25_K1 + 1) / (tf + BM25_K1 * ((1 - BM25_B) + BM25_B * length / avgdl))

@@ -29,27 +29,29 @@ def range_limits(df: DataFrame, value: Column, ranges: int) -> Column:
     return limits.select(F.array_distinct("_limits")).scalar()
 
 
-def _count_up_to(limits: Column, v: Column, ranges: int) -> Column:
-    """How many sorted limits are <= v: plain comparisons for few ranges, halving steps for many."""
+def _with_count_up_to(df: DataFrame, limits: Column, v: Column, ranges: int, name: str) -> DataFrame:
+    """Adds how many sorted limits are <= v (0 for NULL): plain comparisons for few ranges, halving steps for many.
+
+    A step is a projection of its own, so that all of them are compiled; a lambda over the steps would be interpreted for every row.
+    """
     if ranges <= 64:
         tests = [F.when(F.get(limits, F.lit(i)) <= v, F.lit(1)).otherwise(F.lit(0)) for i in range(ranges - 1)]
-        return reduce(add, tests)
+        return df.withColumn(name, reduce(add, tests))
     steps, step = [], 1
     while step < ranges:
         steps.insert(0, step)
         step *= 2
-    return F.aggregate(
-        F.array(*[F.lit(x) for x in steps]),
-        F.lit(0),
-        lambda at, x: F.when(F.get(limits, at + x - 1) <= v, at + x).otherwise(at),
-    )
+    out, at = df.withColumn(name, F.lit(0)), F.col(name)
+    for x in steps:
+        out = out.withColumn(name, F.when(F.get(limits, at + (x - 1)) <= v, at + x).otherwise(at))
+    return out
 
 
 def with_range(df: DataFrame, value: Column, limits: Column, name: str, at_limit: str | None = None) -> DataFrame:
     """Adds the range number of a value; with ``at_limit`` a value equal to a limit gets its own range."""
     ranges = range_count(df.sparkSession)
     out = df.withColumn("_limits", limits)
-    out = out.withColumn(name, _count_up_to(F.col("_limits"), value, ranges))
+    out = _with_count_up_to(out, F.col("_limits"), value, ranges, name)
     if at_limit:
         equal = F.coalesce(F.get(F.col("_limits"), F.col(name) - 1) == value, F.lit(False))
         out = out.withColumn(at_limit, equal)
@@ -186,8 +188,8 @@ def ranked(df: DataFrame, by: list[str], score: str, tie: str, name: str = "rank
         keyed, F.col("_key"), range_limits(keyed, F.col("_key"), ranges), "_r1", at_limit="_hot"
     )
     tie_limits = range_limits(df, F.col(tie).cast("double"), ranges)
-    tie_range = _count_up_to(F.col("_limits"), F.col(tie).cast("double"), ranges)  # looked up for rows of a hot score alone
-    keyed = keyed.withColumn("_limits", tie_limits).withColumn("_r2", F.when(F.col("_hot"), tie_range).otherwise(F.lit(0)))
+    of_hot = F.when(F.col("_hot"), F.col(tie).cast("double"))  # only rows of a hot score are dealt by their tie key
+    keyed = _with_count_up_to(keyed.withColumn("_limits", tie_limits), F.col("_limits"), of_hot, ranges, "_r2")
     keyed = stored(keyed.drop("_hot", "_limits"), "ranked-rows")
     part = by + ["_r1", "_r2"]
     per_range = keyed.groupBy(*part).agg(F.count("*").alias("_n"))
