@@ -24,7 +24,7 @@ SETTINGS = {
     "hist_gradient_boosting": {"max_iter": 10, "max_depth": 3, "learning_rate": 0.1},
     "knn": {"n_neighbors": 5, "metric": "euclidean"},
     "random_forest": {"n_estimators": 20, "max_depth": 5, "min_samples_leaf": 2},
-    "xgboost": {"n_estimators": 10, "max_depth": 3, "learning_rate": 0.1, "subsample": 0.8, "colsample_bytree": 0.8},
+    "xgboost": {"n_estimators": 100, "max_depth": 3, "learning_rate": 0.1, "subsample": 0.8, "colsample_bytree": 0.8},
 }
 COLUMNS = [*dict.fromkeys(NOTEBOOK_SELECTED)]
 

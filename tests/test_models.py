@@ -2,6 +2,8 @@ import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from creditecho.catalog.models import SETTINGS
+from creditecho.config import PARAM_GRIDS
 from creditecho.operators import encoders as E
 from creditecho.operators import metrics as M
 from creditecho.operators import models as L
@@ -80,3 +82,10 @@ def test_grid_search_errors_and_importance(spark, table):
     assert L.permutation_importance(models["random_forest"], table, ["x", "z"], repeats=2).first()["feature"] == "x"
     with pytest.raises(ValueError):
         L.train_model("nope", table)
+
+
+def test_boosted_trees_are_a_candidate_of_the_grid(spark):
+    settings = SETTINGS["xgboost"]
+    assert settings.keys() == PARAM_GRIDS["xgboost"].keys() and all(v in PARAM_GRIDS["xgboost"][k] for k, v in settings.items())
+    fit = L.classifier("xgboost", settings, 1000)
+    assert fit.getMaxIter() >= 100 and fit.getSubsamplingRate() == 0.8 and fit.getFeatureSubsetStrategy() == "0.8"
