@@ -20,7 +20,9 @@ import math
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from creditecho.operators.totals import top_ranked
@@ -34,9 +36,10 @@ VISITS_AT_ONCE = 16_384
 DIGITS = 9
 BOX_DIMENSIONS = 16
 BOX_ROWS = 2_048
-MAX_BOXES = 16_384
+MAX_BOXES = 65_536
 BOX_SAMPLE = 16  # sampled rows a box
 BOX_QUERIES = 4_096
+HITS_A_QUERY = 8  # rows within the known distance, in lists of k, from which on a block looks for its own k-th distance
 
 
 def _unit(m: np.ndarray) -> np.ndarray:
@@ -49,6 +52,20 @@ def _matrix(column) -> np.ndarray:
     return np.asarray(np.stack(column.to_numpy()), dtype=np.float64) if len(column) else np.zeros((0, 1))
 
 
+def _flat(column) -> np.ndarray:
+    """The matrix of an Arrow column of lists of equal length."""
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    return np.asarray(column.flatten(), dtype=np.float64).reshape(len(column), -1) if len(column) else np.zeros((0, 1))
+
+
+def _keys(column) -> np.ndarray:
+    return np.asarray(column.fill_null(np.iinfo(np.int64).min), dtype=np.int64)
+
+
+def _lists(values: np.ndarray, ends: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values))
+
+
 def distances(q: np.ndarray, c: np.ndarray, metric: str) -> np.ndarray:
     """Distance of every query to every row; inner product is negated."""
     if metric == "cosine":
@@ -90,10 +107,13 @@ class NearestList:
         if self.own is not None:
             d[self.own[:, None] == keys[None, :]] = np.inf
         cut = self.worst
-        if d.shape[1] > self.k:
-            cut = np.minimum(cut, np.partition(d, self.k - 1, axis=1)[:, self.k - 1])
         slack = 1e-6 * (1 + np.abs(np.where(np.isfinite(cut), cut, 0)))
-        r, c = np.nonzero((d <= (cut + slack)[:, None]) & np.isfinite(d))
+        near = d <= (cut + slack)[:, None]
+        if d.shape[1] > self.k and np.count_nonzero(near) > HITS_A_QUERY * self.k * len(d):
+            cut = np.minimum(cut, np.partition(d, self.k - 1, axis=1)[:, self.k - 1])
+            slack = 1e-6 * (1 + np.abs(np.where(np.isfinite(cut), cut, 0)))
+            near = d <= (cut + slack)[:, None]
+        r, c = np.nonzero(near & np.isfinite(d))
         if not len(r):
             return
         exact = np.round(_exact(self.queries[r], vectors[c], self.metric), DIGITS) + 0.0  # no negative zero
@@ -323,38 +343,51 @@ class BoxTree:
         return np.concatenate(rows or [row]), np.concatenate(leaves or [node])
 
 
-def _boxes(queries: DataFrame, corpus: DataFrame, k: int, metric: str) -> DataFrame:
-    """Exact lists by boxes. Of equal vectors only the first k by key can be in a list, so a hot vector is cut to these before rows are placed."""
+def _first_of_equal(rows: DataFrame, k: int, exclude_self: bool) -> DataFrame:
+    """Of equal vectors the rows that can be in a list of k: the first k by key. Where a query leaves out rows of its own key, rows of the
+    first k + 1 keys, at most k of a key."""
+    if not exclude_self:
+        return top_ranked(rows.withColumn("_near", -F.col("doc_id")), ["vector"], "_near", "doc_id", k).select("doc_id", "vector")
+    place = F.dense_rank().over(W.partitionBy("vector").orderBy("doc_id"))
+    copy = F.row_number().over(W.partitionBy("vector", "doc_id").orderBy("doc_id"))
+    return rows.withColumn("_key", place).filter(F.col("_key") <= k + 1).withColumn("_copy", copy).filter(F.col("_copy") <= k).select("doc_id", "vector")
+
+
+def _boxes(queries: DataFrame, corpus: DataFrame, k: int, metric: str, exclude_self: bool = False) -> DataFrame:
+    """Exact lists by boxes. Of equal vectors only the first by key can be in a list, so a hot vector is cut to these before rows are placed."""
     spark = corpus.sparkSession
     finite = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))
     usable = F.coalesce(F.forall("vector", finite), F.lit(False))
-    queries = queries.filter(usable).select("query_id", F.col("vector").cast("array<double>").alias("vector"))
-    rows = corpus.filter(usable).select("doc_id", F.col("vector").cast("array<double>").alias("vector"), (-F.col("doc_id")).alias("_near"))
-    rows = stored(top_ranked(rows, ["vector"], "_near", "doc_id", k).select("doc_id", "vector"), "knn-rows")
+    queries = queries.filter(usable).select(F.col("query_id").cast("long").alias("query_id"), F.col("vector").cast("array<double>").alias("vector"))
+    rows = corpus.filter(usable).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("vector").cast("array<double>").alias("vector"))
+    rows = stored(_first_of_equal(rows, k, exclude_self), "knn-rows")
     n = rows.count()
     if not n:
         return _no_hits(queries)
     boxes = max(1, min(MAX_BOXES, n // BOX_ROWS))
     step = max(1, n // (boxes * BOX_SAMPLE))
-    sample = rows.filter(F.pmod(F.xxhash64("doc_id"), F.lit(step)) == 0).select("vector").toPandas()["vector"]
-    tree = BoxTree(_matrix(sample), boxes if len(sample) else 1)
+    sample = _flat(rows.filter(F.pmod(F.xxhash64("doc_id"), F.lit(step)) == 0).select("vector").toArrow().column("vector"))
+    tree = BoxTree(sample, boxes if len(sample) else 1)
     shape = spark.sparkContext.broadcast(tree.arrays())
 
     def place(batches):
         tree = BoxTree.of(shape.value)
         for b in batches:
-            if len(b):
-                yield b.assign(box=tree.place(_matrix(b["vector"])).astype(np.int32))
+            if b.num_rows:
+                box = pa.array(tree.place(_flat(b.column("vector"))), pa.int32())
+                yield pa.RecordBatch.from_arrays([b.column(0), b.column("vector"), box], names=[b.schema.names[0], "vector", "box"])
 
-    placed = rows.mapInPandas(place, "doc_id long, vector array<double>, box int")
+    placed = rows.mapInArrow(place, "doc_id long, vector array<double>, box int")
     width = len(rows.select("vector").first()[0])
-    limits = [f(F.get("vector", F.lit(i))).alias(f"{name}{i}") for i in range(width) for name, f in (("low", F.min), ("high", F.max))]
-    told = placed.groupBy("box").agg(F.count("*").alias("n"), *limits).collect()  # at most MAX_BOXES rows
+    limits = [f(F.get("vector", F.lit(i))).alias(f"{name}{i}") for name, f in (("low", F.min), ("high", F.max)) for i in range(width)]
+    told = placed.groupBy("box").agg(F.count("*").alias("n"), *limits).toArrow()  # at most MAX_BOXES rows
     count, low, high = np.zeros(len(tree.axis), np.int64), np.full((len(tree.axis), width), np.inf), np.full((len(tree.axis), width), -np.inf)
-    for r in told:
-        count[r["box"]], low[r["box"]], high[r["box"]] = r["n"], [r[f"low{i}"] for i in range(width)], [r[f"high{i}"] for i in range(width)]
+    at, ends = np.asarray(told.column("box")), np.stack([np.asarray(told.column(i), float) for i in range(2, 2 + 2 * width)], axis=1)
+    count[at], low[at], high[at] = np.asarray(told.column("n")), ends[:, :width], ends[:, width:]
     tree.fit(count, low, high)
     fitted = spark.sparkContext.broadcast(tree.arrays())
+    # a box of so many rows holds k that a query may list
+    enough = k + (rows.groupBy("doc_id").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] if exclude_self else 0)
 
     def searched(asked: DataFrame, task, schema: str) -> DataFrame:
         """``task`` on the queries of every box, at most about BOX_QUERIES at once, beside the rows of the box."""
@@ -362,51 +395,53 @@ def _boxes(queries: DataFrame, corpus: DataFrame, k: int, metric: str) -> DataFr
         guests = F.broadcast(stored(guests, "knn-guests"))
         left = asked.join(guests, "box").withColumn("block", F.pmod(F.xxhash64("query_id"), F.col("blocks")).cast("int")).drop("blocks")
         right = placed.join(guests, "box").select("doc_id", "vector", "box", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
-        return left.groupBy("box", "block").cogroup(right.groupBy("box", "block")).applyInPandas(task, schema)
-
-    def home(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
-        best = NearestList(_matrix(q["vector"]), k, metric)
-        if len(q) and len(c):
-            best.add(c["doc_id"].to_numpy(dtype=np.int64), _matrix(c["vector"]))
-        ends = np.searchsorted(best.row, np.arange(len(q) + 1))
-        hits = [(best.key[i:j].tolist(), best.dist[i:j].tolist()) for i, j in zip(ends[:-1], ends[1:])]
-        return pd.DataFrame({
-            "query_id": q["query_id"], "vector": q["vector"], "box": q["box"], "bound": best.worst[:len(q)],
-            "docs": [x for x, _ in hits], "distances": [x for _, x in hits],
+        return left.groupBy("box", "block").cogroup(right.groupBy("box", "block")).applyInArrow(task, schema)
+
+    def listed(q: pa.Table, c: pa.Table, bound: np.ndarray | None = None) -> tuple[np.ndarray, NearestList]:
+        ids = _keys(q.column("query_id"))
+        best = NearestList(_flat(q.column("vector")), k, metric, ids if exclude_self else None)
+        if bound is not None:
+            best.worst = bound.copy()
+        if len(ids) and c.num_rows:
+            best.add(_keys(c.column("doc_id")), _flat(c.column("vector")))
+        return ids, best
+
+    def home(q: pa.Table, c: pa.Table) -> pa.Table:
+        _, best = listed(q, c)
+        ends = np.searchsorted(best.row, np.arange(q.num_rows + 1))
+        return pa.table({
+            "query_id": q.column("query_id"), "vector": q.column("vector"), "box": q.column("box"), "bound": pa.array(best.worst[:q.num_rows]),
+            "docs": _lists(best.key, ends), "distances": _lists(best.dist, ends),
         })
 
     def visit(batches):
         tree = BoxTree.of(fitted.value)
         for b in batches:
-            for at in range(0, len(b), VISITS_AT_ONCE // 16):
-                part = b.iloc[at:at + VISITS_AT_ONCE // 16]
-                v, bound = _matrix(part["vector"]), part["bound"].to_numpy(dtype=np.float64)
-                row, box = tree.visits(v, bound, k, metric)
-                away = box != part["box"].to_numpy()[row]
+            for at in range(0, b.num_rows, VISITS_AT_ONCE // 16):
+                part = b.slice(at, VISITS_AT_ONCE // 16)
+                v, bound = _flat(part.column("vector")), np.asarray(part.column("bound"), dtype=np.float64)
+                row, box = tree.visits(v, bound, enough, metric)
+                away = box != np.asarray(part.column("box"))[row]
                 row, box = row[away], box[away]
                 for first in range(0, len(row), VISITS_AT_ONCE):
-                    r = row[first:first + VISITS_AT_ONCE]
-                    yield pd.DataFrame({
-                        "query_id": part["query_id"].to_numpy()[r], "vector": part["vector"].to_numpy()[r], "bound": bound[r],
-                        "box": box[first:first + VISITS_AT_ONCE].astype(np.int32),
-                    })
+                    r = pa.array(row[first:first + VISITS_AT_ONCE])
+                    yield pa.RecordBatch.from_arrays([
+                        part.column("query_id").take(r), part.column("vector").take(r), part.column("bound").take(r),
+                        pa.array(box[first:first + VISITS_AT_ONCE], pa.int32()),
+                    ], names=["query_id", "vector", "bound", "box"])
 
-    def compare(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
-        ids = q["query_id"].to_numpy(dtype=np.int64)
-        best = NearestList(_matrix(q["vector"]), k, metric)
-        if len(q) and len(c):
-            best.worst = q["bound"].to_numpy(dtype=np.float64).copy()
-            best.add(c["doc_id"].to_numpy(dtype=np.int64), _matrix(c["vector"]))
-        return pd.DataFrame({"query_id": ids[best.row], "doc_id": best.key, "distance": best.dist})
+    def compare(q: pa.Table, c: pa.Table) -> pa.Table:
+        ids, best = listed(q, c, np.asarray(q.column("bound"), dtype=np.float64))
+        return pa.table({"query_id": pa.array(ids[best.row]), "doc_id": pa.array(best.key), "distance": pa.array(best.dist)})
 
-    asked = queries.mapInPandas(place, "query_id long, vector array<double>, box int")
+    asked = queries.mapInArrow(place, "query_id long, vector array<double>, box int")
     near = stored(searched(
         asked, home, "query_id long, vector array<double>, box int, bound double, docs array<long>, distances array<double>"
     ), "knn-home")
     own = near.select("query_id", F.explode(F.arrays_zip("docs", "distances")).alias("h")).select(
         "query_id", F.col("h.docs").alias("doc_id"), F.col("h.distances").alias("distance")
     )
-    visits = near.select("query_id", "vector", "bound", "box").mapInPandas(visit, "query_id long, vector array<double>, bound double, box int")
+    visits = near.select("query_id", "vector", "bound", "box").mapInArrow(visit, "query_id long, vector array<double>, bound double, box int")
     return own.unionByName(searched(visits, compare, "query_id long, doc_id long, distance double"))
 
 
@@ -440,9 +475,9 @@ def nearest(
     few = probes is None and queries.limit(allowed + 1).count() <= allowed
     if few:
         return _result(_scan(queries, corpus, k, metric, exclude_self), k)
-    first = corpus.select(F.size("vector")).first() if probes is None and not exclude_self and metric in ("euclidean", "manhattan") else None
+    first = corpus.select(F.size("vector")).first() if probes is None and metric in ("euclidean", "manhattan") else None
     if first and 0 < first[0] <= BOX_DIMENSIONS:
-        return _result(_boxes(queries, corpus, k, metric), k)
+        return _result(_boxes(queries, corpus, k, metric, exclude_self), k)
     return _result(_cells(queries, corpus, k, metric, exclude_self, pivots, probes, tile_rows), k)
 
 

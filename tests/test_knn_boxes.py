@@ -25,6 +25,29 @@ def test_boxes_equal_brute_force(spark, metric, monkeypatch):
     assert len(q) - 1 not in got
 
 
+@pytest.mark.parametrize("metric", ["euclidean", "manhattan"])
+def test_boxes_leave_out_rows_of_the_own_key(spark, metric, monkeypatch):
+    monkeypatch.setattr(knn, "BOX_ROWS", 16)
+    monkeypatch.setattr(knn, "_cells", None)
+    rng = np.random.default_rng(7)
+    rows = np.concatenate([rng.normal(size=(300, 3)), np.tile([0.25, 0.5, 3.0], (60, 1)), np.round(rng.normal(size=(200, 3))), [[900.0, 0, 0]]])
+    keys = rng.permutation(len(rows)) * 3
+    keys[300:309] = keys[300]  # a key nine times, with one vector
+    keys[10:16] = keys[10]  # and one with six
+    table = spark.createDataFrame([(int(i), v.tolist()) for i, v in zip(keys, rows)], "doc_id long, vector array<double>")
+    asked = table.withColumnRenamed("doc_id", "query_id")
+    got = {}
+    for r in knn.nearest(asked, table, 4, metric, exclude_self=True, scan_queries=0).collect():
+        got.setdefault(r.query_id, []).append((r["rank"], r.distance, r.doc_id))
+    for key in set(keys.tolist()):
+        hits = []
+        for v in rows[keys == key]:
+            gap = rows - v
+            d = np.round(np.abs(gap).sum(1) if metric == "manhattan" else np.sqrt((gap * gap).sum(1)), 9)
+            hits += [(a, b) for a, b in zip(d, keys) if b != key]
+        assert [(x[1], x[2]) for x in sorted(got[key])] == [(pytest.approx(a, abs=2e-9), b) for a, b in sorted(hits)[:4]]
+
+
 def test_a_query_visits_few_boxes_at_any_size():
     rng = np.random.default_rng(6)
     mean = []
