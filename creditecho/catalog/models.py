@@ -12,11 +12,12 @@ from creditecho.operators import knn
 from creditecho.operators import metrics as M
 from creditecho.operators import models as L
 from creditecho.operators import splits as S
+from creditecho.operators.cleaning import clean_loans
 from creditecho.operators.preprocess import fit_preprocessor
 from creditecho.operators.resample import smote
-from creditecho.session import checkpointed
+from creditecho.session import checkpointed, drop_checkpoints
 from creditecho.sources import sinks
-from creditecho.sources.tables import doc_vectors
+from creditecho.sources.tables import doc_vectors, stored_loans
 
 R = Registry()
 SETTINGS = {
@@ -31,9 +32,14 @@ COLUMNS = [*dict.fromkeys(NOTEBOOK_SELECTED)]
 
 def credit_parts(spark, sf):
     """(train, test) of the cleaned loans with the selected features, written once."""
-    clean = checkpointed(cleaned_loans(spark, sf))
+    source = stored_loans(spark, sf)
+    clean = checkpointed(clean_loans(source, keep=("id",)).data)
+    drop_checkpoints(source)
     made = X.engineer_features(clean, [c for c in COLUMNS if c != "annual_inc"])
-    parts = checkpointed(S.stratified_split(checkpointed(made.select("id", "default_flag", *COLUMNS))))
+    chosen = checkpointed(made.select("id", "default_flag", *COLUMNS))
+    drop_checkpoints(clean)
+    parts = checkpointed(S.stratified_split(chosen))
+    drop_checkpoints(chosen)
     return parts.filter(~F.col("is_test")).drop("is_test"), parts.filter(F.col("is_test")).drop("is_test")
 
 

@@ -14,12 +14,19 @@ from creditecho.operators.totals import running_totals
 CLS = ("accuracy", "precision", "recall", "f1_score")
 
 
-def roc_points(pred: DataFrame, by: list[str] = ("model",)) -> DataFrame:
-    """True and false positive rates at every distinct score, from the highest threshold down."""
-    by = list(by)
-    per_score = pred.groupBy(*by, "probability").agg(
+def score_counts(pred: DataFrame, by: list[str] = ("model",)) -> DataFrame:
+    """Rows of either class at every distinct score."""
+    return pred.groupBy(*by, "probability").agg(
         F.count_if(F.col("label") == 1).alias("pos"), F.count_if(F.col("label") == 0).alias("neg")
     )
+
+
+def roc_points(pred: DataFrame, by: list[str] = ("model",)) -> DataFrame:
+    """True and false positive rates at every distinct score, from the highest threshold down."""
+    return _rates(score_counts(pred, by), list(by))
+
+
+def _rates(per_score: DataFrame, by: list[str]) -> DataFrame:
     placed = running_totals(per_score, by, "probability", ["pos", "neg"], descending=True)
     return placed.withColumns({
         "tpr": share(F.col("pos_before") + F.col("pos"), F.col("pos_total")),
@@ -29,7 +36,12 @@ def roc_points(pred: DataFrame, by: list[str] = ("model",)) -> DataFrame:
 
 def auc_ks(pred: DataFrame, by: list[str] = ("model",)) -> DataFrame:
     """ROC-AUC with tied scores averaged, Gini and the KS statistic."""
-    points = roc_points(pred, by)
+    return auc_ks_of_counts(score_counts(pred, by), by)
+
+
+def auc_ks_of_counts(per_score: DataFrame, by: list[str] = ("model",)) -> DataFrame:
+    """The same from ``score_counts``."""
+    points = _rates(per_score, list(by))
     won = F.col("neg").cast("double") * (F.col("pos_before") + F.col("pos") / 2)
     area = points.groupBy(*by).agg(
         F.sum(won).alias("_won"),

@@ -18,14 +18,15 @@ from creditecho.config import FEATURE_KINDS, PARAM_GRIDS, SEED
 from creditecho.operators import grid as G
 from creditecho.operators.encoders import class_weights
 from creditecho.operators.knn import knn_classify
-from creditecho.operators.metrics import auc_ks
+from creditecho.operators.metrics import auc_ks, auc_ks_of_counts, score_counts
 from creditecho.operators.preprocess import Preprocessor, fit_preprocessor
 from creditecho.operators.resample import smote
 from creditecho.operators.totals import ranked
-from creditecho.session import checkpointed
+from creditecho.session import checkpointed, stored
 
 SCALED = ("logistic_regression", "knn")
 MAX_TREE_DEPTH = 30
+BLOCK_ROWS = 1_024  # consecutive places whose rows and values travel as arrays
 
 
 @dataclass
@@ -242,32 +243,76 @@ def native_importance(fitted: FittedModel, spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, "feature string, importance double").orderBy(F.col("importance").desc(), "feature")
 
 
+def shifted_copies(sample: DataFrame, columns: list[str], repeats: int) -> DataFrame:
+    """``repeats`` copies of the rows for every column, in which it comes from the row some places on; ``_at`` numbers the rows from 1.
+
+    A block holds the rows of BLOCK_ROWS places. The values that a block needs for a copy lie in at most three blocks (the last may be short);
+    these pieces are cut there and sent to the block.
+    """
+    spark, size = sample.sparkSession, BLOCK_ROWS
+    n = sample.count()
+    names = [c for c in sample.columns if c != "_at"]
+    blocks = sample.groupBy(F.floor((F.col("_at") - 1) / size).cast("long").alias("_block")).agg(
+        F.sort_array(F.collect_list(F.struct("_at", *names))).alias("_rows")
+    )
+    blocks, count = stored(blocks, "importance-blocks"), -(-n // size)
+    trials = F.array(*[
+        F.struct(F.lit(c).alias("feature"), F.lit(r).alias("repeat")) for c in columns for r in range(repeats)
+    ])
+    shift = 1 + F.pmod(F.xxhash64("feature", "repeat", F.lit(SEED)), F.lit(max(1, n - 1)))
+    held = lambda block: F.least(F.lit(size), F.lit(n) - block * size)
+    asked = spark.range(count).select(F.col("id").alias("_to"), F.inline(trials)).withColumns({
+        "_from": F.pmod(F.col("_to") * size + shift, F.lit(max(1, n))), "_size": held(F.col("_to")),
+    }).withColumn("_b0", F.floor(F.col("_from") / size).cast("long"))
+    asked = asked.withColumns({f"_b{i}": F.pmod(F.col("_b0") + i, F.lit(max(1, count))) for i in (1, 2)})
+    asked = asked.withColumn("_first", F.col("_from") - F.col("_b0") * size)
+    asked = asked.withColumn("_s0", F.least(F.col("_size"), held(F.col("_b0")) - F.col("_first")))
+    asked = asked.withColumn("_s1", F.least(F.col("_size") - F.col("_s0"), held(F.col("_b1"))))
+    asked = asked.withColumn("_s2", F.col("_size") - F.col("_s0") - F.col("_s1"))
+    zero = F.lit(0).cast("long")
+    before = (zero, F.col("_s0"), F.col("_s0") + F.col("_s1"))
+    pieces = asked.select("feature", "repeat", "_to", F.inline(F.array(*[
+        F.struct(F.col(f"_b{i}").alias("_source"), ((F.col("_first") if i == 0 else zero) + 1).cast("int").alias("_begin"),
+                 F.col(f"_s{i}").cast("int").alias("_n"), (before[i] + 1).cast("int").alias("_place")) for i in range(3)
+    ]))).filter("_n > 0")
+    kinds = dict(sample.dtypes)
+    types = list(dict.fromkeys(kinds[c] for c in columns))
+
+    def values(kind: str):
+        out = F.array().cast(f"array<{kind}>")
+        for c in columns:
+            if kinds[c] == kind:
+                out = F.when(F.col("feature") == c, F.slice(F.col("_rows")[c], F.col("_begin"), F.col("_n"))).otherwise(out)
+        return out
+
+    sent = pieces.join(blocks, F.col("_source") == F.col("_block")).select(
+        "feature", "repeat", "_to", "_n", "_place", *[values(t).alias(f"_d{i}") for i, t in enumerate(types)]
+    )
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    met = sent.repartition(tasks, "_to").join(blocks, F.col("_to") == F.col("_block"))
+    met = met.select("feature", "repeat", F.slice("_rows", F.col("_place"), F.col("_n")).alias("_r"), *[f"_d{i}" for i in range(len(types))])
+    copies = met.select("feature", "repeat", F.inline(F.arrays_zip("_r", *[f"_d{i}" for i in range(len(types))])))
+    own = {c: F.when(F.col("feature") == c, F.col(f"_d{types.index(kinds[c])}")).otherwise(F.col("_r")[c]) for c in columns}
+    return copies.select("feature", "repeat", *[own.get(c, F.col("_r")[c]).alias(c) for c in names])
+
+
 def permutation_importance(
     fitted: FittedModel, df: DataFrame, columns: list[str], repeats: int = 10, sample_rows: int | None = None
 ) -> DataFrame:
     """Mean loss of ROC-AUC when one raw column is shuffled, over all rows or a stated sample in hash order.
 
     Rows get places in one hash order without a single-task sort. In a copy, a row takes the column from the row some places on (around the end);
-    how many follows from feature and repeat. All copies are scored in one job, and the donors come by a shuffled join.
+    how many follows from feature and repeat. All copies are scored in one job. Only the column's values travel for a copy, in arrays of
+    consecutive places; its rows are made, scored and counted by score in the same task.
     """
     key = fitted.key
     rows = df.orderBy(F.xxhash64(key, F.lit(SEED)), key).limit(sample_rows) if sample_rows else df
     rows = rows.withColumns({"_score": F.xxhash64(key).cast("double"), "_tie": F.xxhash64(key, F.lit(SEED))})
-    sample = checkpointed(ranked(rows, [], "_score", "_tie", "_at").drop("_score", "_tie"))
-    n = sample.count()
-    trials = F.array(*[
-        F.struct(F.lit(c).alias("feature"), F.lit(r).alias("repeat")) for c in columns for r in range(repeats)
-    ])
-    copies = sample.withColumn("_t", F.explode(trials)).select("*", "_t.feature", "_t.repeat").drop("_t")
-    shift = 1 + F.pmod(F.xxhash64("feature", "repeat", F.lit(SEED)), F.lit(max(1, n - 1)))
-    copies = copies.withColumn("_from", 1 + F.pmod(F.col("_at") - 1 + shift, F.lit(max(1, n))))
-    donors = sample.select(F.col("_at").alias("_d_at"), *[F.col(c).alias(f"_d_{c}") for c in columns])
-    mixed = copies.join(donors, F.col("_from") == F.col("_d_at"))
-    mixed = mixed.withColumns({
-        c: F.when(F.col("feature") == c, F.col(f"_d_{c}")).otherwise(F.col(c)) for c in columns
-    }).drop("_from", "_at", "_d_at", *[f"_d_{c}" for c in columns])
+    sample = stored(ranked(rows, [], "_score", "_tie", "_at").drop("_score", "_tie"), "importance-rows")
+    mixed = shifted_copies(sample, columns, repeats)
     base = auc_ks(fitted.predict(sample.drop("_at")), ["model"]).select("roc_auc").scalar()
-    shuffled = auc_ks(fitted.predict(mixed, ("feature", "repeat")), ["feature", "repeat"])
+    by = ["feature", "repeat"]
+    shuffled = auc_ks_of_counts(stored(score_counts(fitted.predict(mixed, tuple(by)), by), "importance-scores"), by)
     return shuffled.withColumn("_base", base).groupBy("feature").agg(
         F.avg(F.col("_base") - F.col("roc_auc")).alias("importance")
     ).orderBy(F.col("importance").desc(), "feature")

@@ -62,3 +62,13 @@ def checkpointed(df: DataFrame) -> DataFrame:
     if out.rdd.getNumPartitions() < cores and out.count() > SPREAD_ROWS:
         out = out.repartition(cores).checkpoint()
     return out
+
+
+def drop_checkpoints(*frames: DataFrame) -> None:
+    """Deletes the files of checkpointed frames that nothing reads any more, as their rows were stored again."""
+    for df in frames:
+        context = df.sparkSession.sparkContext
+        named = df._jdf.queryExecution().logical().rdd().getCheckpointFile()
+        if named.isDefined():
+            path = context._jvm.org.apache.hadoop.fs.Path(named.get())
+            path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)

@@ -1,3 +1,5 @@
+from pathlib import Path
+
 import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
@@ -10,6 +12,7 @@ from creditecho.operators import models as L
 from creditecho.operators import splits as P
 from creditecho.operators.preprocess import Preprocessor, fit_preprocessor
 from creditecho.operators.resample import smote
+from creditecho.session import checkpointed, drop_checkpoints
 
 KINDS = {
     "numeric_features": ("x", "z"), "ordinal_features": ("years",), "low_cardinality_nominal": ("term",), "high_cardinality_nominal": ("title",),
@@ -89,3 +92,30 @@ def test_boosted_trees_are_a_candidate_of_the_grid(spark):
     assert settings.keys() == PARAM_GRIDS["xgboost"].keys() and all(v in PARAM_GRIDS["xgboost"][k] for k, v in settings.items())
     fit = L.classifier("xgboost", settings, 1000)
     assert fit.getMaxIter() >= 100 and fit.getSubsamplingRate() == 0.8 and fit.getFeatureSubsetStrategy() == "0.8"
+
+
+@pytest.mark.parametrize("n,size", [(5, 4), (24, 4), (50, 64)])
+def test_copies_take_a_column_from_rows_some_places_on(spark, monkeypatch, n, size):
+    monkeypatch.setattr(L, "BLOCK_ROWS", size)
+    df = spark.range(n).select(
+        (F.col("id") + 1).alias("_at"), "id", F.when(F.col("id") % 3 != 0, F.col("id") + 0.5).alias("a"), F.concat(F.lit("t"), "id").alias("t")
+    )
+    got = {(r.feature, r.repeat, r.id): (r.a, r.t) for r in L.shifted_copies(df, ["a", "t"], 3).collect()}
+    shift = spark.createDataFrame([(f, r) for f in "at" for r in range(3)], "feature string, repeat int")
+    shift = shift.withColumn("by", 1 + F.pmod(F.xxhash64("feature", "repeat", F.lit(L.SEED)), F.lit(n - 1))).collect()
+    rows, want = df.orderBy("_at").collect(), {}
+    for f, r, by in shift:
+        for x in rows:
+            y = rows[(x.id + by) % n]
+            want[f, r, x.id] = (y.a, x.t) if f == "a" else (x.a, y.t)
+    assert got == want and len(got) == 6 * n
+
+
+def test_checkpoints_that_were_stored_again_are_deleted(spark):
+    first = checkpointed(spark.range(10))
+    folder = Path(spark.sparkContext.getCheckpointDir().removeprefix("file:"))
+    before = set(folder.glob("rdd-*"))
+    again = checkpointed(first.withColumn("x", F.col("id") + 1))
+    assert len(set(folder.glob("rdd-*")) - before) == 1
+    drop_checkpoints(first)
+    assert len(before - set(folder.glob("rdd-*"))) == 1 and again.count() == 10
